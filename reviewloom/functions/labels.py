@@ -45,7 +45,7 @@ def rule_item_label(item: Column, labels: Mapping[str, str] = vocab.RULE_ITEM_LA
 
 def rule_items_label(items: Column) -> Column:
     """All items of one side of a rule."""
-    return F.array_join(F.transform(items, rule_item_label), ", ")
+    return F.array_join(F.transform(items, lambda item: rule_item_label(item)), ", ")
 
 
 def business_frame(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

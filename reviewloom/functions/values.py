@@ -41,3 +41,13 @@ def to_number(text: Column) -> Column:
 def or_missing(key: Column) -> Column:
     """Group key in which null and empty become one marker."""
     return F.coalesce(F.nullif(key.cast("string"), F.lit("")), F.lit(MISSING))
+
+
+def mean_score(score: Column) -> Column:
+    """Average of scores that have six decimals.
+
+    Summed as whole millionths, so the result does not depend on the order in which
+    partial sums meet. No scores give null.
+    """
+    millionths = F.sum(F.round(score * 1_000_000).cast("bigint"))
+    return F.try_divide(millionths, F.count(score) * 1_000_000)

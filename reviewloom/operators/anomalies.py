@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.functions.quantiles import exact_quantile
+from reviewloom.functions.rows import unnest
 from reviewloom.session import ensure_checkpoint_dir
 
 FEATURES = ("review_count", "average_rating", "average_sentiment_score", "negative_ratio")
@@ -95,7 +96,7 @@ def tree_samples(rows: DataFrame, row_count: int, settings: ForestSettings) -> D
         lambda d: d["draw"] <= int(rate * scale),
     )
     values = F.array(*(F.col(c).cast("double") for c in settings.features)).alias("point")
-    return rows.select(values, F.explode(drawn).alias("d")).select("d.tree", "d.draw", "point")
+    return unnest(rows, drawn, "d", values).select("d.tree", "d.draw", "point")
 
 
 def train_forest(rows: DataFrame, row_count: int, settings: ForestSettings) -> pd.DataFrame:
@@ -106,7 +107,7 @@ def train_forest(rows: DataFrame, row_count: int, settings: ForestSettings) -> p
     depth_limit = math.ceil(math.log2(max(min(settings.sample_size, row_count), 2)))
     sample_size, seed = settings.sample_size, settings.seed
 
-    def grow(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.assign(point=frame["point"].map(tuple)).sort_values(["draw", "point"])
         points = np.array(frame["point"].tolist()[:sample_size], dtype=float)
         tree = int(key[0])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom import vocab
-from reviewloom.functions.values import or_missing
+from reviewloom.functions.values import mean_score, or_missing
 
 
 def action_for(issue: Column, actions: Mapping[str, str], fallback: str) -> Column:
@@ -36,10 +36,9 @@ def build_cases(
         aspects.groupBy(or_missing(F.col("branch_id")).alias("branch_id"), issue_name.alias("issue"))
         .agg(
             F.count("*").alias("mention_count"),
-            F.sum(F.coalesce("aspect_sentiment_score", F.lit(0.0))).alias("score_sum"),
+            mean_score(F.coalesce("aspect_sentiment_score", F.lit(0.0))).alias("mean_score"),
         )
         .where(F.col("mention_count") >= min_mentions)
-        .withColumn("mean_score", F.col("score_sum") / F.col("mention_count"))
     )
     if alerts is None:
         with_alerts = cells.withColumns({"alerts": F.lit(0), "high_alerts": F.lit(0)})

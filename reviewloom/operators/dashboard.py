@@ -7,9 +7,10 @@ from collections.abc import Collection, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewloom.functions.rows import unnest
 from reviewloom.functions.scoring import dashboard_bucket
 from reviewloom.functions.text import is_one_of, tokenize
-from reviewloom.functions.values import month_key
+from reviewloom.functions.values import mean_score, month_key
 
 
 # -- scopes ------------------------------------------------------------------
@@ -88,7 +89,7 @@ def sentiment_by_branch(reviews_nlp: DataFrame) -> DataFrame:
     return (
         reviews_nlp.where(F.col("branch_id").isNotNull())
         .groupBy("branch_id")
-        .agg(F.avg("sentiment_score").alias("sentiment_score"))
+        .agg(mean_score(F.col("sentiment_score")).alias("sentiment_score"))
     )
 
 
@@ -109,18 +110,11 @@ def review_examples(reviews: DataFrame, limit: int = 200) -> DataFrame:
 # -- aspects -----------------------------------------------------------------
 
 
-def _mentions() -> list[Column]:
-    return [
-        F.count("aspect").alias("mention_count"),
-        F.round(F.avg("aspect_sentiment_score"), 4).alias("average_sentiment_score"),
-    ]
-
-
 def aspect_sentiment(aspects: DataFrame) -> DataFrame:
     """Mentions and mean score per branch and aspect; a null score counts as 0."""
     score = F.coalesce("aspect_sentiment_score", F.lit(0.0))
     return aspects.groupBy("branch_id", "aspect").agg(
-        F.count("*").alias("mention_count"), F.round(F.avg(score), 4).alias("average_sentiment_score")
+        F.count("*").alias("mention_count"), F.round(mean_score(score), 4).alias("average_sentiment_score")
     )
 
 
@@ -132,14 +126,14 @@ def aspect_volume(aspects: DataFrame) -> DataFrame:
     cells = aspects.groupBy("branch_id", "aspect").agg(
         F.count("aspect").alias("n"),
         F.count("aspect_sentiment_score").alias("scored"),
-        F.sum("aspect_sentiment_score").alias("score_sum"),
+        F.sum(F.round(F.col("aspect_sentiment_score") * 1_000_000).cast("bigint")).alias("millionths"),
     )
     return (
         cells.groupingSets([["aspect"], ["branch_id", "aspect"]], "branch_id", "aspect")
         .agg(
             F.grouping("branch_id").alias("all_branches"),
             F.sum("n").alias("mention_count"),
-            F.round(F.try_divide(F.sum("score_sum"), F.sum("scored")), 4).alias("average_sentiment_score"),
+            F.round(F.try_divide(F.sum("millionths"), F.sum("scored") * 1_000_000), 4).alias("average_sentiment_score"),
         )
         .select(
             F.when(F.col("all_branches") == 1, "All").otherwise(F.col("branch_id")).alias("branch_id"),
@@ -187,7 +181,7 @@ def word_frequencies(
     """The most frequent words of the given reviews, stop words left out."""
     words = F.filter(tokenize(F.col(text)), lambda t: ~is_one_of(t, stopwords))
     return (
-        reviews.select(F.explode(words).alias("word"))
+        unnest(reviews, words, "word")
         .groupBy("word")
         .agg(F.count("*").alias("count"))
         .orderBy(F.desc("count"), "word")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewloom import vocab
 from reviewloom.functions import scoring
+from reviewloom.functions.rows import unnest
 from reviewloom.functions.text import count_in, keep_candidates, tokenize
 
 
@@ -56,14 +57,8 @@ def enrich(reviews: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
 
 def review_aspects(enriched: DataFrame) -> DataFrame:
     """One row per review and matched aspect; polarity is that of the whole review."""
-    return enriched.select(
-        "review_id",
-        "branch_id",
-        "review_date",
-        F.explode("aspect_hits").alias("hit"),
-        "sentiment_label",
-        "sentiment_score",
-    ).select(
+    kept = ("review_id", "branch_id", "review_date", "sentiment_label", "sentiment_score")
+    return unnest(enriched, "aspect_hits", "hit", *kept).select(
         "review_id",
         "branch_id",
         "review_date",
@@ -85,11 +80,7 @@ def build_nlp(reviews: DataFrame, lexicon: Lexicon = Lexicon()) -> tuple[DataFra
 def term_frequencies(reviews: DataFrame, stopwords: Collection[str] = vocab.CANDIDATE_STOPWORDS) -> DataFrame:
     """Occurrences of every candidate term in the whole corpus."""
     words = keep_candidates(tokenize(F.col("cleaned_text")), stopwords)
-    return (
-        reviews.select(F.explode(words).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("document_term_count"))
-    )
+    return unnest(reviews, words, "term").groupBy("term").agg(F.count("*").alias("document_term_count"))
 
 
 def topic_candidates(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom import vocab
+from reviewloom.functions.rows import unnest
 
 
 def _mentions_any(lowered: Column, cues: Collection[str]) -> Column:
@@ -62,9 +63,9 @@ def mentioned_branches(questions: DataFrame, branches: DataFrame, key: str = "qu
     lowered = questions.select(key, F.lower("question").alias("lowered")).withColumn("width", width)
     starts = F.sequence(F.lit(1), F.length("lowered") - F.col("width") + 1)
     anchors = F.transform(starts, lambda i: F.substring(F.col("lowered"), i, F.col("width")))
+    long_enough = lowered.where(F.length("lowered") >= F.col("width"))
     return (
-        lowered.where(F.length("lowered") >= F.col("width"))
-        .select(key, "lowered", F.explode(F.array_distinct(anchors)).alias("anchor"))
+        unnest(long_enough, F.array_distinct(anchors), "anchor", key, "lowered")
         .join(filed, "anchor")
         .where(F.contains("lowered", "spelling"))
         .select(key, "branch_id")

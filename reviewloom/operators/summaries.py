@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.functions.values import month_key, month_start, or_missing
+from reviewloom.functions.values import mean_score, month_key, month_start, or_missing
 
 
 def dataset_summary(reviews: DataFrame) -> DataFrame:
@@ -130,7 +130,7 @@ def monthly_features(reviews_nlp: DataFrame) -> DataFrame:
         [
             F.count("*").alias("n"),
             F.round(F.avg("rating"), 4).alias("average_rating"),
-            F.round(F.avg("sentiment_score"), 6).alias("average_sentiment_score"),
+            F.round(mean_score(F.col("sentiment_score")), 6).alias("average_sentiment_score"),
             F.round(F.count_if(F.col("sentiment_label") == "Negative") / F.count("*"), 4).alias(
                 "negative_ratio"
             ),

@@ -94,14 +94,13 @@ def evidence(routed: DataFrame, tables: Mapping[str, DataFrame], key: str = "que
         "anomalies",
         "forecast",
     )
-    collected = per_branch.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("branch_id", bundle.alias("b")))).alias("_b"))
+    listed = F.sort_array(F.collect_list(F.struct("branch_id", bundle.alias("bundle"))))
+    collected = per_branch.groupBy(key).agg(F.transform(listed, lambda r: r["bundle"]).alias("branches"))
+    none = F.array().cast(collected.schema["branches"].dataType)
     flagged = tables["anomalies"].where("is_anomaly").agg(F.count("*")).scalar()
     return (
         routed.join(collected, key, "left")
-        .withColumn(
-            "branches", F.coalesce(F.transform("_b", lambda r: r["b"]), F.expr("slice(transform(_b, r -> r.b), 1, 0)"))
-        )
-        .drop("_b")
+        .withColumn("branches", F.coalesce("branches", none))
         .withColumns(brand_evidence(tables))
         .withColumn("brand_alert_count", F.when(F.col("scope") == "brand", flagged))
     )

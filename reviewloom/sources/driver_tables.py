@@ -11,6 +11,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rehash a scan with fewer splits than cores; scans of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def review_view(spark: SparkSession, folder: str, level: str = "nation") -> DataFrame:
     """Orders as reviews, with the document of the same key as text where there is one.
 
@@ -54,7 +60,7 @@ def review_view(spark: SparkSession, folder: str, level: str = "nation") -> Data
 
 def document_view(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as reviews that all have text; the source is the branch."""
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents"), "doc_id").select(
         F.col("doc_id").cast("string").alias("review_id"),
         F.col("source").alias("branch_id"),
         F.upper("source").alias("branch_name"),
@@ -66,7 +72,7 @@ def document_view(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_view(spark: SparkSession, folder: str) -> DataFrame:
     """Web pages as reviews: text with tags and entities."""
-    return table(spark, folder, "pages").select(
+    return spread(table(spark, folder, "pages"), "page_id").select(
         F.col("page_id").cast("string").alias("review_id"), F.col("html").alias("review_text")
     )
 
@@ -76,5 +82,10 @@ def question_view(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "conversations")
         .where(F.col("role") == "user")
-        .select(F.concat_ws("-", "conv_id", "turn").alias("question_id"), F.col("text").alias("question"))
+        .select(
+            F.concat_ws("-", "conv_id", "turn").alias("question_id"),
+            F.col("text").alias("question"),
+            "conv_id",
+            "turn",
+        )
     )
