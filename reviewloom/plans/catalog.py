@@ -17,8 +17,10 @@ from reviewloom.functions.text import tokenize
 from reviewloom.functions.values import shift_month, to_number
 from reviewloom.operators import (
     anomalies,
+    clusters,
     crm,
     dashboard,
+    features,
     forecast,
     lookups,
     mining,
@@ -26,6 +28,7 @@ from reviewloom.operators import (
     quality,
     routing,
     summaries,
+    topics,
 )
 from reviewloom.operators.preprocess import preprocess
 from reviewloom.plans.evidence import evidence
@@ -689,3 +692,60 @@ def question_evidence(spark, folder):
         F.size("top_topics").alias("topic_count"),
         "brand_alert_count",
     )
+
+
+# -- term matrix and models --------------------------------------------------
+
+TERMS = features.TermSettings(stopwords=("the", "and", "of", "der", "die", "la", "le"))
+
+
+def _documents(spark, folder):
+    return preprocess(views.document_view(spark, folder))
+
+
+@query
+def document_frequencies(spark, folder):
+    """Vocabulary after frequency limits, with idf."""
+    counts = features.term_counts(_documents(spark, folder), TERMS.stopwords)
+    known = features.vocabulary(counts, counts.count(), TERMS)
+    return known.withColumn("idf", F.round("idf", 6))
+
+
+@query
+def tfidf_weights(spark, folder):
+    """The whole weighted matrix, words and word pairs."""
+    matrix = features.build_matrix(_documents(spark, folder), TERMS)
+    return features.weights(matrix).withColumn("weight", F.round("weight", 6))
+
+
+@query
+def topics_nmf(spark, folder):
+    found = topics.fit_topics(_documents(spark, folder), topics.TopicSettings(terms=TERMS))
+    return dashboard.theme_titles(found.topics).select(
+        "topic_id",
+        "theme_number",
+        "title",
+        F.array_join("top_terms", ",").alias("top_terms"),
+        F.lit(found.reconstruction_error).alias("reconstruction_error"),
+    )
+
+
+@query
+def document_topics(spark, folder):
+    return topics.fit_topics(_documents(spark, folder), topics.TopicSettings(terms=TERMS)).document_topics
+
+
+CLUSTERS = clusters.ClusterSettings(k_candidates=(2, 3, 4, 5), restarts=3, terms=TERMS)
+
+
+@query
+def clusters_kmeans(spark, folder):
+    found = clusters.fit_clusters(_documents(spark, folder), CLUSTERS)
+    return dashboard.group_titles(found.clusters).select(
+        "cluster_id", "customer_group", "size", "common_words"
+    )
+
+
+@query
+def document_clusters(spark, folder):
+    return clusters.fit_clusters(_documents(spark, folder), CLUSTERS).document_clusters

@@ -10,6 +10,7 @@ from reviewloom.plans.catalog import (
     PROBE_LEXICON,
     PROBE_STOPWORDS,
     RISK,
+    TERMS,
 )
 
 WORD = r"[\p{L}\p{N}_'']+"
@@ -518,4 +519,19 @@ SELECT r.question_id, scope, period, coalesce(branch_count, 0) AS branch_count,
   (SELECT least(5, count(DISTINCT lang)) FROM documents) AS topic_count,
   CASE WHEN scope = 'brand' THEN (SELECT count(*) FROM alerts WHERE is_anomaly) END AS brand_alert_count
 FROM routed r LEFT JOIN found f ON f.question_id = r.question_id"""
+    known = f"""words AS (SELECT doc_id, list_filter(coalesce(regexp_extract_all(
+    lower({_cleaned("text")}), '[\\p{{L}}\\p{{N}}_]{{2,}}'), []), lambda t: t NOT IN {_in(TERMS.stopwords)}) AS w
+  FROM documents WHERE {_cleaned("text")} IS NOT NULL),
+grams AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)),
+    lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM words),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY ALL),
+size AS (SELECT count(*) AS n FROM words),
+known AS (SELECT term, count(*) AS df, ln((1.0 + max(n)) / (1.0 + count(*))) + 1.0 AS idf FROM tf, size
+  GROUP BY term HAVING count(*) >= {TERMS.min_df} AND count(*) <= {TERMS.max_df} * max(n))"""
+    sql["document_frequencies"] = f"WITH {known} SELECT term, df, round(idf, 6) AS idf FROM known"
+    sql["tfidf_weights"] = f"""WITH {known},
+weighted AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN known USING (term)),
+norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY doc_id)
+SELECT CAST(doc_id AS VARCHAR) AS review_id, term, round(w / norm, 6) AS weight
+FROM weighted JOIN norms USING (doc_id)"""
     return sql
