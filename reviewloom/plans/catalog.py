@@ -32,7 +32,7 @@ from reviewloom.operators import (
 )
 from reviewloom.operators.preprocess import preprocess
 from reviewloom.plans.evidence import evidence
-from reviewloom.session import prepare
+from reviewloom.session import ensure_checkpoint_dir, prepare
 from reviewloom.sources import driver_tables as views
 from reviewloom.sources import raw_json
 from reviewloom.sources.manifest import file_digests
@@ -87,13 +87,24 @@ def _nlp(spark, folder, level="nation"):
     return nlp.build_nlp(_clean(spark, folder, level), PROBE_LEXICON)
 
 
+def _scored(spark, folder, level="nation"):
+    """Scored reviews and their aspects for queries that use both.
+
+    The texts are cleaned and scored once; the result is checkpointed.
+    """
+    ensure_checkpoint_dir(spark)
+    enriched = nlp.enrich(_clean(spark, folder, level), PROBE_LEXICON).drop("review_text")
+    kept = enriched.checkpoint()
+    return kept.drop("aspect_hits"), nlp.review_aspects(kept)
+
+
 def _features(spark, folder, level="nation"):
     return summaries.monthly_features(_nlp(spark, folder, level)[0])
 
 
-def _rule_alerts(spark, folder, level="nation"):
+def _rule_alerts(features):
     """Rule-based alerts; any reason flags the month, two or more are high."""
-    found = anomalies.rule_alerts(_features(spark, folder, level))
+    found = anomalies.rule_alerts(features)
     reasons = F.size("alert_reasons")
     return found.withColumn("is_anomaly", reasons > 0).withColumn(
         "alert_severity", F.when(reasons > 1, "high").otherwise(F.col("alert_severity"))
@@ -417,18 +428,18 @@ def topic_concentration(spark, folder):
 
 @query
 def transactions(spark, folder):
-    baskets = mining.transactions(*_nlp(spark, folder))
+    baskets = mining.transactions(*_scored(spark, folder))
     return baskets.select("review_id", F.array_join("items", "|").alias("items"))
 
 
 @query
 def distinct_baskets(spark, folder):
-    return mining.baskets(*_nlp(spark, folder)).select(F.array_join("items", "|").alias("items"), "n")
+    return mining.baskets(*_scored(spark, folder)).select(F.array_join("items", "|").alias("items"), "n")
 
 
 @query
 def frequent_itemsets(spark, folder):
-    found = mining.frequent_itemsets(mining.baskets(*_nlp(spark, folder)))
+    found = mining.frequent_itemsets(mining.baskets(*_scored(spark, folder)))
     return found.select(
         F.array_join("itemset", "|").alias("itemset"),
         "occurrences",
@@ -438,7 +449,7 @@ def frequent_itemsets(spark, folder):
 
 @query
 def association_rules(spark, folder):
-    rules = mining.mine_rules(*_nlp(spark, folder))
+    rules = mining.mine_rules(*_scored(spark, folder))
     return rules.select(
         F.array_join("antecedent", "|").alias("antecedent"),
         F.array_join("consequent", "|").alias("consequent"),
@@ -450,7 +461,7 @@ def association_rules(spark, folder):
 
 @query
 def top_rules_labelled(spark, folder):
-    rules = mining.top_rules(mining.mine_rules(*_nlp(spark, folder)), 10)
+    rules = mining.top_rules(mining.mine_rules(*_scored(spark, folder)), 10)
     return rules.select(
         labels.rule_items_label(F.col("antecedent")).alias("when_mentioned"),
         labels.rule_items_label(F.col("consequent")).alias("also_mentioned"),
@@ -479,12 +490,12 @@ def rule_alerts(spark, folder):
 
 @query
 def alert_kpis(spark, folder):
-    return dashboard.alert_kpis(_rule_alerts(spark, folder))
+    return dashboard.alert_kpis(_rule_alerts(_features(spark, folder)))
 
 
 @query
 def alerts_by_severity(spark, folder):
-    return dashboard.alerts_by_severity(_rule_alerts(spark, folder)).select(
+    return dashboard.alerts_by_severity(_rule_alerts(_features(spark, folder))).select(
         "branch_id", "month", "alert_severity", "review_count"
     )
 
@@ -535,13 +546,14 @@ def forecast_skipped(spark, folder):
 
 @query
 def observed_and_forecast(spark, folder):
-    features = _features(spark, folder, "region")
-    return forecast.observed_and_forecast(features, forecast.forecast_ratings(features, RISK))
+    by_month = _features(spark, folder, "region")
+    return forecast.observed_and_forecast(by_month, forecast.forecast_ratings(by_month, RISK))
 
 
 @query
 def crm_cases(spark, folder):
-    cases = crm.build_cases(_nlp(spark, folder)[1], _rule_alerts(spark, folder))
+    reviews, aspects = _scored(spark, folder)
+    cases = crm.build_cases(aspects, _rule_alerts(summaries.monthly_features(reviews)))
     return crm.ranked_cases(cases)
 
 
@@ -649,14 +661,14 @@ def route_questions(spark, folder):
 @query
 def question_evidence(spark, folder):
     """Evidence per question, reduced to checkable columns."""
-    reviews, aspects = _nlp(spark, folder)
-    features = summaries.monthly_features(reviews)
+    reviews, aspects = _scored(spark, folder)
+    by_month = summaries.monthly_features(reviews)
     tables = {
         "branch_summary": summaries.branch_summary(reviews),
         "monthly_summary": summaries.monthly_summary(reviews),
         "review_aspects": aspects,
-        "anomalies": _rule_alerts(spark, folder),
-        "branch_forecasts": forecast.forecast_ratings(features, RISK),
+        "anomalies": _rule_alerts(by_month),
+        "branch_forecasts": forecast.forecast_ratings(by_month, RISK),
         "dataset_summary": summaries.dataset_summary(reviews),
         "topics": views.table(spark, folder, "documents").groupBy("lang").agg(
             F.count("*").alias("n")
@@ -700,7 +712,10 @@ TERMS = features.TermSettings(stopwords=("the", "and", "of", "der", "die", "la",
 
 
 def _documents(spark, folder):
-    return preprocess(views.document_view(spark, folder))
+    """Cleaned documents, fixed like the stored table that models read in a batch run."""
+    ensure_checkpoint_dir(spark)
+    clean = preprocess(views.document_view(spark, folder))
+    return clean.select("review_id", "branch_id", "review_date", "cleaned_text").checkpoint()
 
 
 @query

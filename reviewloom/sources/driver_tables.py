@@ -24,7 +24,8 @@ def review_view(spark: SparkSession, folder: str, level: str = "nation") -> Data
     of rows. Orders, customers and documents grow together, so their joins are left to
     adaptive execution.
     """
-    orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer")
+    orders = spread(table(spark, folder, "orders"), "o_orderkey")
+    customers = table(spark, folder, "customer")
     nations, documents = table(spark, folder, "nation"), table(spark, folder, "documents")
     places = nations.select(F.col("n_nationkey").alias("place"), F.col("n_name").alias("branch_name"))
     if level == "region":
