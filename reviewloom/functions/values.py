@@ -43,11 +43,15 @@ def or_missing(key: Column) -> Column:
     return F.coalesce(F.nullif(key.cast("string"), F.lit("")), F.lit(MISSING))
 
 
+def millionths(score: Column) -> Column:
+    """A score with six decimals as a whole number."""
+    return F.round(score * 1_000_000).cast("bigint")
+
+
 def mean_score(score: Column) -> Column:
     """Average of scores that have six decimals.
 
-    Summed as whole millionths, so the result does not depend on the order in which
-    partial sums meet. No scores give null.
+    Summed as whole numbers, so the result does not depend on the order in which partial
+    sums meet. No scores give null.
     """
-    millionths = F.sum(F.round(score * 1_000_000).cast("bigint"))
-    return F.try_divide(millionths, F.count(score) * 1_000_000)
+    return F.try_divide(F.sum(millionths(score)), F.count(score) * 1_000_000)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.rows import unnest
 from reviewloom.functions.scoring import dashboard_bucket
 from reviewloom.functions.text import is_one_of, tokenize
-from reviewloom.functions.values import mean_score, month_key
+from reviewloom.functions.values import mean_score, millionths, month_key
 
 
 # -- scopes ------------------------------------------------------------------
@@ -126,14 +126,14 @@ def aspect_volume(aspects: DataFrame) -> DataFrame:
     cells = aspects.groupBy("branch_id", "aspect").agg(
         F.count("aspect").alias("n"),
         F.count("aspect_sentiment_score").alias("scored"),
-        F.sum(F.round(F.col("aspect_sentiment_score") * 1_000_000).cast("bigint")).alias("millionths"),
+        F.sum(millionths(F.col("aspect_sentiment_score"))).alias("total"),
     )
     return (
         cells.groupingSets([["aspect"], ["branch_id", "aspect"]], "branch_id", "aspect")
         .agg(
             F.grouping("branch_id").alias("all_branches"),
             F.sum("n").alias("mention_count"),
-            F.round(F.try_divide(F.sum("millionths"), F.sum("scored") * 1_000_000), 4).alias("average_sentiment_score"),
+            F.round(F.try_divide(F.sum("total"), F.sum("scored") * 1_000_000), 4).alias("average_sentiment_score"),
         )
         .select(
             F.when(F.col("all_branches") == 1, "All").otherwise(F.col("branch_id")).alias("branch_id"),

@@ -45,32 +45,25 @@ def requested_period(question: Column) -> Column:
 def mentioned_branches(questions: DataFrame, branches: DataFrame, key: str = "question_id") -> DataFrame:
     """(question, branch) pairs where the question contains the branch name or its id in words.
 
-    A substring join without comparing every pair: each spelling of a branch is filed
-    under its first characters, each question under all its substrings of that length,
-    and only pairs that share such an anchor are compared in full. The anchor is as long
-    as the shortest spelling, so no mention is missed.
+    A substring join by equality. Every question is cut into its distinct substrings, of
+    the few lengths that branch spellings have, and those are joined with the spellings.
+    Only true mentions meet, however many branches share a beginning, and the rows grow
+    with the questions' length and not with the number of branches.
     """
-    spelled = branches.select(
-        "branch_id",
-        F.explode(
-            F.array_distinct(
-                F.array(F.lower("branch_name"), F.replace(F.col("branch_id"), F.lit("_"), F.lit(" ")))
-            )
-        ).alias("spelling"),
-    ).where(F.length("spelling") > 0)
-    width = spelled.agg(F.min(F.length("spelling"))).scalar()
-    filed = spelled.withColumn("anchor", F.substring(F.col("spelling"), F.lit(1), width))
-    lowered = questions.select(key, F.lower("question").alias("lowered")).withColumn("width", width)
-    starts = F.sequence(F.lit(1), F.length("lowered") - F.col("width") + 1)
-    anchors = F.transform(starts, lambda i: F.substring(F.col("lowered"), i, F.col("width")))
-    long_enough = lowered.where(F.length("lowered") >= F.col("width"))
-    return (
-        unnest(long_enough, F.array_distinct(anchors), "anchor", key, "lowered")
-        .join(filed, "anchor")
-        .where(F.contains("lowered", "spelling"))
-        .select(key, "branch_id")
-        .distinct()
+    names = F.array(F.lower("branch_name"), F.replace(F.col("branch_id"), F.lit("_"), F.lit(" ")))
+    spelled = unnest(branches, F.array_distinct(names), "spelling", "branch_id").where(
+        F.length("spelling") > 0
     )
+    lengths = spelled.agg(F.collect_set(F.length("spelling"))).scalar()
+    lowered = questions.select(key, F.lower("question").alias("lowered")).withColumn("lengths", lengths)
+    text, size = F.col("lowered"), F.length("lowered")
+
+    def substrings(width):
+        return F.transform(F.sequence(F.lit(1), size - width + 1), lambda i: F.substring(text, i, width))
+
+    fitting = F.filter("lengths", lambda width: width <= size)
+    parts = F.array_distinct(F.flatten(F.transform(fitting, substrings)))
+    return unnest(lowered, parts, "spelling", key).join(spelled, "spelling").select(key, "branch_id").distinct()
 
 
 def route_questions(questions: DataFrame, branches: DataFrame, key: str = "question_id") -> DataFrame:

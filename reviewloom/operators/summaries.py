@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.functions.values import mean_score, month_key, month_start, or_missing
+from reviewloom.functions.values import millionths, month_key, month_start, or_missing
 
 
 def dataset_summary(reviews: DataFrame) -> DataFrame:
@@ -57,37 +57,57 @@ def dataset_summary(reviews: DataFrame) -> DataFrame:
     )
 
 
+def _branch_name(first: str = "first_date") -> Column:
+    """Of several names of a branch the one seen first, ties by name."""
+    return F.min_by("branch_name", F.struct(first, "branch_name"))
+
+
 def branch_summary(reviews: DataFrame) -> DataFrame:
-    """Volume, rating and text coverage per branch; the name is that of the lowest review id."""
-    return reviews.groupBy(or_missing(F.col("branch_id")).alias("branch_id")).agg(
-        F.min_by("branch_name", "review_id").alias("branch_name"),
-        F.count("*").alias("review_count"),
-        F.round(F.avg("rating"), 4).alias("average_rating"),
-        F.count("cleaned_text").alias("text_available_count"),
-        F.count_if(F.col("cleaned_text").isNull()).alias("text_missing_count"),
+    """Volume, rating and text coverage per branch.
+
+    The first grouping has the name in its key and only numbers in its buffers, so it is
+    a hash aggregate that combines map-side without sorting. The second one picks the
+    name from the handful of rows left.
+    """
+    cells = reviews.groupBy(or_missing(F.col("branch_id")).alias("branch_id"), "branch_name").agg(
+        F.min("review_date").alias("first_date"),
+        F.count("*").alias("n"),
+        F.sum("rating").alias("rating_sum"),
+        F.count("rating").alias("rated"),
+        F.count("cleaned_text").alias("texts"),
+    )
+    return cells.groupBy("branch_id").agg(
+        _branch_name().alias("branch_name"),
+        F.sum("n").alias("review_count"),
+        F.round(F.try_divide(F.sum("rating_sum"), F.sum("rated")), 4).alias("average_rating"),
+        F.sum("texts").alias("text_available_count"),
+        (F.sum("n") - F.sum("texts")).alias("text_missing_count"),
     )
 
 
-def on_complete_calendar(reviews: DataFrame, metrics: Sequence[Column]) -> DataFrame:
-    """Aggregate ``metrics`` per branch and month over every month from first to last.
+def on_complete_calendar(reviews: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
+    """Named sums per branch and month over every month from first to last.
 
-    Reviews shuffle once, as partial aggregates per (branch, month), so a branch with a
-    third of the rows is spread over its months and combined before it moves. A branch
-    then holds at most one struct per calendar month, and the calendar is looked up in
-    that array: no join. The bounds are a scalar subquery that reads the date column
-    only. Cells without reviews have a null ``m`` struct.
+    Reviews shuffle once, as partial sums per (branch, month, name): hash aggregation
+    with numbers only, so a branch with a third of the rows is spread over its months
+    and combined before it moves. A branch then holds at most one struct per calendar
+    month, and the calendar is looked up in that array: no join. The bounds are a scalar
+    subquery that reads the date column only. ``m`` is null for cells without reviews.
     """
     dated = reviews.where(F.col("review_date").isNotNull()).select(
         "*", or_missing(F.col("branch_id")).alias("_branch"), month_start(F.col("review_date")).alias("_month")
     )
-    calendar = dated.agg(
-        F.expr("sequence(min(_month), max(_month), interval 1 month)")
-    ).scalar()
-    cells = dated.groupBy("_branch", "_month").agg(
-        F.min(F.struct(F.col("review_id"), F.col("branch_name"))).alias("_first"),
-        F.struct(*metrics).alias("m"),
+    calendar = dated.agg(F.expr("sequence(min(_month), max(_month), interval 1 month)")).scalar()
+    cells = dated.groupBy("_branch", "_month", "branch_name").agg(
+        F.min("review_date").alias("first_date"),
+        F.count("*").alias("n"),
+        *(column.alias(name) for name, column in sums.items()),
+    )
+    months = cells.groupBy("_branch", "_month").agg(
+        F.min(F.struct("first_date", "branch_name")).alias("_first"),
+        F.struct(*(F.sum(name).alias(name) for name in ("n", *sums))).alias("m"),
     )
-    per_branch = cells.groupBy("_branch").agg(
+    per_branch = months.groupBy("_branch").agg(
         F.min("_first")["branch_name"].alias("branch_name"),
         F.map_from_entries(F.collect_list(F.struct("_month", "m"))).alias("_observed"),
     )
@@ -101,22 +121,23 @@ def on_complete_calendar(reviews: DataFrame, metrics: Sequence[Column]) -> DataF
     )
 
 
+def _average(total: str, count: str, digits: int) -> Column:
+    return F.round(F.try_divide(F.col(total), F.col(count)), digits)
+
+
+_RATING = {"rating_sum": "sum(rating)", "rated": "count(rating)"}
+
+
 def monthly_summary(reviews: DataFrame) -> DataFrame:
     """Reviews per branch and month, empty months included with null metrics."""
-    grid = on_complete_calendar(
-        reviews,
-        [
-            F.count("*").alias("n"),
-            F.round(F.avg("rating"), 4).alias("average_rating"),
-            F.count("cleaned_text").alias("texts"),
-        ],
-    )
+    wanted = _RATING | {"texts": "count(cleaned_text)"}
+    grid = on_complete_calendar(reviews, {k: F.expr(v) for k, v in wanted.items()})
     return grid.select(
         "month",
         "branch_id",
         "branch_name",
         F.coalesce("m.n", F.lit(0)).alias("review_count"),
-        F.col("m.average_rating"),
+        _average("m.rating_sum", "m.rated", 4).alias("average_rating"),
         F.coalesce("m.texts", F.lit(0)).alias("text_available_count"),
         F.col("m").isNull().alias("is_zero_volume"),
         F.col("m").isNotNull().alias("is_observed"),
@@ -125,25 +146,25 @@ def monthly_summary(reviews: DataFrame) -> DataFrame:
 
 def monthly_features(reviews_nlp: DataFrame) -> DataFrame:
     """Volume, rating and sentiment per branch and month; ratios are over all reviews."""
+    score = F.col("sentiment_score")
     grid = on_complete_calendar(
         reviews_nlp,
-        [
-            F.count("*").alias("n"),
-            F.round(F.avg("rating"), 4).alias("average_rating"),
-            F.round(mean_score(F.col("sentiment_score")), 6).alias("average_sentiment_score"),
-            F.round(F.count_if(F.col("sentiment_label") == "Negative") / F.count("*"), 4).alias(
-                "negative_ratio"
-            ),
-        ],
+        {k: F.expr(v) for k, v in _RATING.items()}
+        | {
+            "millionths": F.sum(millionths(score)),
+            "scored": F.count(score),
+            "negatives": F.count_if(F.col("sentiment_label") == "Negative"),
+        },
     )
+    mean = F.try_divide(F.col("m.millionths"), F.col("m.scored") * 1_000_000)
     return grid.select(
         "branch_id",
         "branch_name",
         "month",
         F.coalesce("m.n", F.lit(0)).alias("review_count"),
-        "m.average_rating",
-        "m.average_sentiment_score",
-        "m.negative_ratio",
+        _average("m.rating_sum", "m.rated", 4).alias("average_rating"),
+        F.round(mean, 6).alias("average_sentiment_score"),
+        _average("m.negatives", "m.n", 4).alias("negative_ratio"),
         F.col("m").isNull().alias("is_zero_volume"),
         F.col("m").isNotNull().alias("is_observed"),
     )
