@@ -21,18 +21,21 @@ def in_scope(
     branches: Sequence[str],
     first_month: str | None = None,
     last_month: str | None = None,
-    month: str | Column | None = None,
+    month: str | None = None,
 ) -> DataFrame:
-    """Rows of the chosen branches within an inclusive month range.
+    """Rows of the chosen branches within an inclusive range of yyyy-MM months.
 
-    ``month`` is a yyyy-MM column; by default it comes from ``review_date``. No branches
-    means no rows. On tables partitioned by branch the first filter prunes folders.
+    ``month`` names a month column. Without it the range is put as bounds on
+    ``review_date``, which reach the Parquet scan. No branches means no rows.
     """
     scoped = df.where(F.col("branch_id").isin(list(branches)) if branches else F.lit(False))
     if not (first_month and last_month):
         return scoped
-    key = month_key(F.col("review_date")) if month is None else month
-    return scoped.where((F.col(key) if isinstance(key, str) else key).between(first_month, last_month))
+    if month is not None:
+        return scoped.where(F.col(month).between(first_month, last_month))
+    start = F.to_date(F.lit(f"{first_month}-01")).cast("timestamp")
+    end = F.add_months(F.to_date(F.lit(f"{last_month}-01")), 1).cast("timestamp")
+    return scoped.where((F.col("review_date") >= start) & (F.col("review_date") < end))
 
 
 def negative_reviews(reviews: DataFrame) -> DataFrame:

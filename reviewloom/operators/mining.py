@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.scoring import mining_bucket
+from reviewloom.session import ensure_checkpoint_dir
 
 
 def _aspect_items(aspects: DataFrame) -> DataFrame:
@@ -140,7 +141,10 @@ def mine_rules(
     max_len: int = 3,
 ) -> DataFrame:
     """Baskets, frequent sets and rules in one go; no baskets give no rules."""
-    found = frequent_itemsets(baskets(reviews_nlp, aspects), min_support, max_len)
+    ensure_checkpoint_dir(reviews_nlp.sparkSession)
+    # Few rows with many readers: fixed once instead of planned for every reader.
+    distinct_baskets = baskets(reviews_nlp, aspects).checkpoint()
+    found = frequent_itemsets(distinct_baskets, min_support, max_len).checkpoint()
     return association_rules(found, min_confidence)
 
 

@@ -662,7 +662,7 @@ def route_questions(spark, folder):
 def question_evidence(spark, folder):
     """Evidence per question, reduced to checkable columns."""
     reviews, aspects = _scored(spark, folder)
-    by_month = summaries.monthly_features(reviews)
+    by_month = summaries.monthly_features(reviews).checkpoint()
     tables = {
         "branch_summary": summaries.branch_summary(reviews),
         "monthly_summary": summaries.monthly_summary(reviews),
@@ -675,7 +675,9 @@ def question_evidence(spark, folder):
         ).select(_language_number().alias("topic_id"), F.array("lang").alias("top_terms")),
         "association_rules": mining.mine_rules(reviews, aspects),
     }
-    routed = routing.route_questions(_questions(spark, folder), _branch_list(spark, folder))
+    # Stored tables in a batch run.
+    tables = {name: df.checkpoint() for name, df in tables.items()}
+    routed = routing.route_questions(_questions(spark, folder), _branch_list(spark, folder)).checkpoint()
     found = evidence(routed, tables)
     observed = F.filter("branches", lambda b: b["observed"])
     return found.select(

@@ -164,3 +164,11 @@ def test_recent_negative_reviews(sample, rows):
     dated = sample.withColumn("rating", F.lit(2.0))
     found = [r["review_id"] for r in rows(dashboard.recent_negative_reviews(dated, 2))]
     assert found == ["r3", "r2"]
+
+
+def test_month_range_reaches_the_scan(sample, spark, tmp_path):
+    sample.write.parquet(str(tmp_path / "t"))
+    scoped = dashboard.in_scope(spark.read.parquet(str(tmp_path / "t")), ["a"], "2026-01", "2026-02")
+    assert scoped.count() == 2
+    plan = scoped.select("review_date")._jdf.queryExecution().toString().split("PushedFilters")[-1]
+    assert "GreaterThanOrEqual(review_da" in plan  # the plan text is cut off
