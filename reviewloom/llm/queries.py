@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.llm import mixing, quality, sharding
-from reviewloom.llm.common import table
+from reviewloom.llm import language, mixing, quality, sharding, toxicity
+from reviewloom.llm.common import remainder, table
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,18 +20,34 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned without a quarter of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(language.train_part(docs)))
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to 5 : 2 : 1 of 150 % of all words."""
     drawn = mixing.mix(table(spark, sf_dir, "documents"))
     return drawn.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned without a fifth of the ids."""
+    labels = toxicity.train_part(table(spark, sf_dir, "labels"))
+    scored = toxicity.score(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every corpus query by name."""
     return {
         "op1_sharding": op1_sharding,
         "op5_quality": op5_quality,
+        "op6_language": op6_language,
         "op8_mixing": op8_mixing,
+        "op10_toxicity": op10_toxicity,
     }
 
 
