@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.llm import language, mixing, quality, sharding, toxicity
+from reviewloom.llm import language, mixing, packing, quality, sharding, tokenfiles, toxicity
 from reviewloom.llm.common import remainder, table
 
 
@@ -15,6 +15,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 24)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(packing.tokenized_pieces(table(spark, sf_dir, "documents")))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of the rule cascade."""
     return quality.quality(table(spark, sf_dir, "documents"))
@@ -33,6 +38,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of all documents, read back."""
+    return tokenfiles.token_files(table(spark, sf_dir, "documents")).drop("path")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned without a fifth of the ids."""
     labels = toxicity.train_part(table(spark, sf_dir, "labels"))
@@ -44,9 +54,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every corpus query by name."""
     return {
         "op1_sharding": op1_sharding,
+        "op4_packing": op4_packing,
         "op5_quality": op5_quality,
         "op6_language": op6_language,
         "op8_mixing": op8_mixing,
+        "op9_token_files": op9_token_files,
         "op10_toxicity": op10_toxicity,
     }
 
