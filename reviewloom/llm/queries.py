@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewloom.llm import language, mixing, packing, quality, sharding, tokenfiles, toxicity
+from reviewloom.llm import language, minhash, mixing, neighbours, packing, quality, sharding, suffixes, tokenfiles, toxicity
 from reviewloom.llm.common import remainder, table
 
 
@@ -15,6 +16,17 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 24)
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 50-byte strings of documents before it."""
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack(packing.tokenized_pieces(table(spark, sf_dir, "documents")))
@@ -32,6 +44,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to 5 : 2 : 1 of 150 % of all words."""
     drawn = mixing.mix(table(spark, sf_dir, "documents"))
@@ -54,9 +71,12 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every corpus query by name."""
     return {
         "op1_sharding": op1_sharding,
+        "op2_minhash": op2_minhash,
+        "op3_suffixes": op3_suffixes,
         "op4_packing": op4_packing,
         "op5_quality": op5_quality,
         "op6_language": op6_language,
+        "op7_neighbours": op7_neighbours,
         "op8_mixing": op8_mixing,
         "op9_token_files": op9_token_files,
         "op10_toxicity": op10_toxicity,
