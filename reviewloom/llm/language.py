@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import cut, remainder, text_slices, uniform
+from reviewloom.llm.common import remainder, text_slices, uniform
 
 #: Labelled documents per language that the scores are learned from, in expectation.
 TRAIN_DOCS = 3_000
@@ -205,6 +205,16 @@ def spans_of(words: Words, labels: np.ndarray, n_docs: int):
     return words.doc[new], labels[new], words.start[new] - shift, words.start[last] + words.length[last] - shift
 
 
+def _predicted(texts: list[str | None], model: Model, letters: np.ndarray, switch: float):
+    """Words and labels, and each text's main language, whether it is unknown, and its share of the letters."""
+    texts, n = [t or "" for t in texts], max(len(model.langs), 1)
+    words, labels = label_texts(texts, model, letters, switch)
+    share = np.bincount(words.doc * n + labels, weights=words.length, minlength=len(texts) * n).reshape(-1, n)
+    total = share.sum(1)
+    unknown = (total == 0) | (not model.langs)
+    return words, labels, share.argmax(1), unknown, np.where(unknown, 0.0, share.max(1) / np.maximum(total, 1))
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", switch: float = SWITCH) -> DataFrame:
     """Language and language spans of every document, from its text alone.
 
@@ -220,16 +230,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, letters = shared.value, letter_table()
         names = pa.array([*model.langs, UNKNOWN])
-        n = max(len(model.langs), 1)
         for batch in batches:
             for part in text_slices(batch, "text", 16 << 20):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                words, labels = label_texts(texts, model, letters, switch)
-                share = np.bincount(words.doc * n + labels, weights=words.length, minlength=len(texts) * n).reshape(-1, n)
-                total = share.sum(1)
-                unknown = (total == 0) | (not model.langs)
-                best = np.where(unknown, len(model.langs), share.argmax(1))
-                score = np.where(unknown, 0.0, share.max(1) / np.maximum(total, 1))
+                texts = part.column("text").to_pylist()
+                words, labels, best, unknown, score = _predicted(texts, model, letters, switch)
+                best[unknown] = len(model.langs)
                 doc, lang, start, end = spans_of(words, labels, len(texts)) if model.langs else (np.zeros(0, int),) * 4
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)))])
                 values = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), names.take(pa.array(lang, pa.int32()))], fields=list(span))
@@ -245,10 +250,15 @@ def train_part(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return docs.where(remainder(id_col, 4) != 2)
 
 
-def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:
-    """Documents with a predicted language that holds at least ``least_score`` of their letters."""
-    names = docs.columns
-    rows = cut(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.monotonically_increasing_id().alias("row_no")))
-    found = identify(rows.select("row_no", F.col("row.text").alias("text")), model, "row_no")
-    good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(F.col("doc_id").alias("row_no"))
-    return rows.join(good, "row_no", "left_semi").select(*[F.col("row").getField(c).alias(c) for c in names])
+def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.4, text_col: str = "text", switch: float = SWITCH) -> DataFrame:
+    """Documents with a predicted language that holds at least ``least_score`` of their letters, with all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, letters = shared.value, letter_table()
+        for batch in batches:
+            for part in text_slices(batch, text_col, 16 << 20):
+                *_, unknown, score = _predicted(part.column(text_col).to_pylist(), model, letters, switch)
+                yield part.filter(pa.array(~unknown & (score >= least_score)))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import cut, mixed, raw_text, text_slices
@@ -22,6 +22,7 @@ BLOCK = 512
 #: under a similarity of 0.85 (a pair above that is missed with a chance of 3e-7).
 LEAST_ESTIMATE = 0.72
 SHINGLE = 3
+NO_ID = -(1 << 63)
 _RNG = np.random.default_rng(77)
 _A = _RNG.integers(0, 1 << 31, PERMUTATIONS, np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, PERMUTATIONS, np.uint64).astype(np.uint32)
@@ -197,15 +198,38 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     texts, have no shingles and are linked with nothing. Null ids come last in a component.
     Repeated rows fall into one class. An empty table gives no rows.
     """
+    found = grouped(docs, percent, id_col, text_col)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_per_group(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without near duplicates: of each component one row with the smallest id, with all columns.
+
+    Documents without a word stay, each id and text once.
+    """
+    found = grouped(docs, percent, id_col, text_col)
+    alone = F.when(F.col("n_shingles") == 0, F.xxhash64("doc_id", "text_key"))
+    first = F.row_number().over(Window.partitionBy("component_id", alone).orderBy(F.asc_nulls_last("doc_id"), "text_key"))
+    chosen = found.withColumn("n", first).where("n = 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_key"))
+    met = rows.join(chosen.withColumn("_id", F.coalesce("_id", F.lit(NO_ID))), ["_id", "_key"])
+    # Repeated rows share id and text: the first stays.
+    once = met.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_id"))).where("_n = 1")
+    return once.select(*[F.col("_row").getField(c).alias(c) for c in names])
+
+
+def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_key, n_shingles and component_id of every document; see near_duplicates."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(text_col).cast("string").alias("text"))
     stored = cut(texts.mapInArrow(_sets, "doc_id long, text_key long, n_shingles long, set_key binary, signature binary"))
     # Of equal sets the document with the smallest id stands for all.
     first = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), F.col("doc_id").alias("id"), F.col("text_key").alias("key")))
     classes = cut(
         stored.where("n_shingles > 0").groupBy("set_key").agg(first.alias("rep"), F.first("signature").alias("signature"))
-        .select(F.monotonically_increasing_id().alias("cls"), "set_key", F.coalesce("rep.id", F.lit(-(1 << 63))).alias("rep_id"), F.col("rep.key").alias("rep_key"), "signature")
+        .select(F.monotonically_increasing_id().alias("cls"), "set_key", F.coalesce("rep.id", F.lit(NO_ID)).alias("rep_id"), F.col("rep.key").alias("rep_key"), "signature")
     )
-    texts = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63)))).where(F.col("text").isNotNull())
+    texts = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).where(F.col("text").isNotNull())
     bands = classes.select("cls", "signature").mapInArrow(_bands, "band long, cls long")
     shared = bands.groupBy("band").agg(F.min("cls").alias("center"), F.max("cls").alias("last")).where("center < last")
     members = cut(bands.join(shared.select("band", "center"), "band"))
@@ -219,9 +243,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     if not rest.isEmpty():
         links = cut(stars.unionByName(confirmed(rest, classes, texts, percent)))
         found = cut(components(links))
-    owner = classes.join(found.toDF("cls", "component"), "cls", "left").select("set_key", F.coalesce("component", "cls").alias("component"), F.when(F.col("rep_id") != -(1 << 63), F.col("rep_id")).alias("rep_id"))
+    owner = classes.join(found.toDF("cls", "component"), "cls", "left").select("set_key", F.coalesce("component", "cls").alias("component"), F.when(F.col("rep_id") != NO_ID, F.col("rep_id")).alias("rep_id"))
     smallest = owner.groupBy("component").agg(F.min("rep_id").alias("component_id"))
     named = owner.join(smallest, "component").select("set_key", "component_id")
-    result = stored.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key")).join(named, "set_key", "left")
+    result = stored.select("doc_id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key")).join(named, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return result.select("doc_id", "text_key", "n_shingles", component.alias("component_id"))

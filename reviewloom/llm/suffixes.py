@@ -268,7 +268,7 @@ def _matched(table: pa.Table) -> pa.Table:
     return pa.table({"part": table.column("part"), "key": table.column("key"), "smallest": lists.take(pa.array(at)) if len(at) else lists})
 
 
-def _removed(with_text: bool):
+def _removed(with_text: bool, keep: tuple[str, ...]):
     def mark(table: pa.Table, answers: pa.Table) -> pa.Table:
         known = np.asarray(answers.column("key")).astype(np.int64)
         order = np.argsort(known, kind="stable")
@@ -310,7 +310,10 @@ def _removed(with_text: bool):
             rows["n_spans"] += np.diff(per).tolist()
         if not with_text:
             rows["kept_text"] = [None] * len(rows["doc_id"])
-        return pa.table(rows, SCHEMA)
+        found = pa.table(rows, SCHEMA)
+        for name in keep:
+            found = found.append_column(name, table.column(name))
+        return found
 
     return mark
 
@@ -336,12 +339,25 @@ SCHEMA = pa.schema([
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>, kept_text string"
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """The documents with their repeated passages removed, with the columns of ``docs``.
+
+    ``size_col``, if there is one, gets the new number of characters.
+    """
+    others = tuple(c for c in docs.columns if c not in (id_col, text_col, size_col))
+    found, kinds = remove_repeats(docs, True, id_col, text_col, others), dict(docs.dtypes)
+    new = {id_col: F.col("doc_id").cast(kinds[id_col]), text_col: F.col("kept_text")}
+    if size_col in kinds:
+        new[size_col] = F.length("kept_text").cast(kinds[size_col])
+    return found.select(*[new.get(c, F.col(f"keep_{c}")).alias(c) for c in docs.columns])
+
+
+def remove_repeats(docs: DataFrame, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Remove each byte covered by a 50-byte string that also starts in a document with a smaller id.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start and end of removed
     runs, in bytes) and, with ``with_text``, kept_text (without the spans, but with characters
-    that a span would cut). Strings are judged on the input. Null text is empty; null ids count
+    that a span would cut), and the columns named in ``keep``, as keep_<name>. Strings are judged on the input. Null text is empty; null ids count
     as the smallest and as equal to each other; documents with one id, and so repeated rows,
     take nothing from each other. An empty table gives no rows.
 
@@ -349,14 +365,15 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, id_col: str = "doc_
     read three times: for anchors, for segments, for the removal. A passage of any number of
     documents is one row per part from the first step on.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"keep_{c}") for c in keep])
+    carried = plain.columns[2:]
     size = plain.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     parts = max(1, -(-size // PART_BYTES))
-    dealt = plain.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")).select("part", "doc_id", "text").repartition("part")
+    dealt = plain.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")).select("part", "doc_id", "text", *carried).repartition("part")
     by_part = dealt.groupBy("part")
     anchors = by_part.applyInArrow(_anchors, "anchor long, part int")
     repeated = anchors.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1").select("part", "anchor")
     segments_ = by_part.cogroup(repeated.groupBy("part")).applyInArrow(_candidates(parts * BUCKETS_PER_PART), "bucket int, part int, key long, doc long, content binary")
     answers = segments_.groupBy("bucket").applyInArrow(_matched, "part int, key long, smallest array<long>")
-    found = by_part.cogroup(answers.groupBy("part")).applyInArrow(_removed(with_text), RESULT)
+    found = by_part.cogroup(answers.groupBy("part")).applyInArrow(_removed(with_text, tuple(carried)), RESULT + "".join(f", {c} {dict(plain.dtypes)[c]}" for c in carried))
     return found if with_text else found.drop("kept_text")
