@@ -2,8 +2,10 @@
 
 Texts are cut into segments so that equal strings of the minimum length always meet in one
 bucket: a window's anchor is the smallest hash among the k-grams in it, and a segment is a run of
-windows with one anchor. Only segments whose anchor occurs in two documents go on. Each bucket's
-segments form a text whose Burrows-Wheeler transform is expanded breadth first.
+windows with one anchor. Only segments whose anchor occurs in two documents go on, each content
+once for a part of the documents. Where an anchor has one content all its windows are equal; the
+other segments form a text for each bucket, whose Burrows-Wheeler transform is expanded breadth
+first.
 """
 
 from __future__ import annotations
@@ -19,14 +21,17 @@ from reviewloom.llm.common import mixed
 
 LEAST = 50
 #: Bytes of a k-gram that may be an anchor.
-GRAM = 20
+GRAM = 15
 #: Text bytes of a part (documents that are cut up together), and buckets for each part.
-PART_BYTES, BUCKETS_PER_PART = 12 << 20, 8
+PART_BYTES, BUCKETS_PER_PART = 12 << 20, 4
 #: Bytes that one numpy step works on.
 STEP_BYTES = 2 << 20
 #: No byte of UTF-8: divides segments.
 DIVIDER = 0xFF
 NO_ID = -(1 << 63)
+#: Bits of hashes that are moved to find repeated anchors and whether their contents differ. The
+#: zero bytes lie at the ends of a row, where shuffle files compress them.
+ANCHOR_BITS, CONTENT_BITS = -(1 << 16), (1 << 40) - 1
 _BASE = np.uint64(0x9FB21C651E98DF25)
 _POWER: list[np.ndarray] = []
 
@@ -190,28 +195,27 @@ def _texts(table: pa.Table):
 
 
 def _anchors(table: pa.Table) -> pa.Table:
-    """Distinct anchors of a part; one that is in two of its documents comes twice."""
-    keys, low, high = [], [], []
+    """Distinct (anchor, content) of a part; one that is in two of its documents comes twice."""
+    kept: list[list[np.ndarray]] = [[], [], [], []]
     for ids, data, offsets in _texts(table):
-        text, _, _, anchor, _ = segments(data, offsets)
-        if len(anchor):
-            k, a, b = _spread(anchor, ids[text], ids[text])
-            keys.append(k), low.append(a), high.append(b)
-    if keys:
-        k, a, b = _spread(np.concatenate(keys), np.concatenate(low), np.concatenate(high))
-        k = np.concatenate([k, k[a < b]])
-    else:
-        k = np.zeros(0, np.int64)
+        text, _, _, anchor, key = segments(data, offsets)
+        for values, new in zip(kept, _spread(anchor, key, ids[text], ids[text]), strict=True):
+            values.append(new)
+    anchor, key, low, high = _spread(*[np.concatenate(v) if v else np.zeros(0, np.int64) for v in kept])
+    twice = low < high
+    anchor, key = (np.concatenate([x, x[twice]]) for x in (anchor, key))
     part = table.column("part")[0].as_py() if table.num_rows else 0
-    return pa.table({"anchor": pa.array(k, pa.int64()), "part": pa.array(np.full(len(k), part), pa.int32())})
+    return pa.table({"anchor": pa.array(anchor & ANCHOR_BITS), "content": pa.array(key & CONTENT_BITS), "part": pa.array(np.full(len(key), part), pa.int32())})
 
 
-def _spread(keys: np.ndarray, low: np.ndarray, high: np.ndarray):
-    """Distinct keys with the smallest and largest value of each."""
-    order = np.argsort(keys)
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
+def _spread(anchor: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """Distinct contents with their anchor and the smallest and largest document."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
+    if not len(first):
+        return (np.zeros(0, np.int64),) * 4
+    return anchor[order[first]], key[first], np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,32 +226,40 @@ def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _candidates(buckets: int):
     def cut_out(table: pa.Table, repeated: pa.Table) -> pa.Table:
-        """Distinct segments of a part that have a repeated anchor, each with its smallest document."""
-        known = np.unique(np.asarray(repeated.column("anchor")).astype(np.int64))
-        kept: dict[str, list] = {"anchor": [], "key": [], "doc": [], "content": []}
+        """Distinct segments of a part that have a repeated anchor, each with its smallest document.
+
+        The bytes go along only where the anchor has different contents.
+        """
+        known, first = np.unique(np.asarray(repeated.column("anchor")).astype(np.int64), return_index=True)
+        varied = np.asarray(repeated.column("varied")).astype(bool)[first]
+        kept: list[list] = [[], [], [], [], []]
         for ids, data, offsets in _texts(table):
             text, start, end, anchor, key = segments(data, offsets)
-            at = np.flatnonzero(_among(anchor, known)[0])
+            hit, place = _among(anchor & ANCHOR_BITS, known)
+            at = np.flatnonzero(hit)
             if not len(at):
                 continue
-            at = at[np.lexsort((ids[text[at]], key[at]))]
-            at = at[np.concatenate([[True], key[at][1:] != key[at][:-1]])]
-            size = end[at] - start[at]
+            order = at[np.argsort(key[at])]
+            group = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+            low, high = np.minimum.reduceat(ids[text[order]], group), np.maximum.reduceat(ids[text[order]], group)
+            at = order[group]
+            with_bytes = varied[place[at]]
+            size = np.where(with_bytes, end[at] - start[at], 0)
             ends = np.cumsum(size)
             flat = data[np.repeat(start[at] - (ends - size), size) + np.arange(int(ends[-1]))]
-            content = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(flat)])
-            for name, values in (("anchor", anchor[at]), ("key", key[at]), ("doc", ids[text[at]]), ("content", content)):
-                kept[name].append(pa.array(values) if name != "content" else values)
-        kind = {"anchor": pa.int64(), "key": pa.int64(), "doc": pa.int64(), "content": pa.binary()}
-        found = pa.table({n: pa.chunked_array(v, kind[n]) for n, v in kept.items()})
-        if found.num_rows:  # a content may be in several steps
-            key, doc = np.asarray(found.column("key")), np.asarray(found.column("doc"))
-            order = np.lexsort((doc, key))
-            order = order[np.concatenate([[True], key[order][1:] != key[order][:-1]])]
-            found = found.take(pa.array(order))
-        part = table.column("part")[0].as_py() if table.num_rows else 0
-        bucket = (mixed(np.asarray(found.column("anchor")).astype(np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
-        return pa.table({"bucket": pa.array(bucket, pa.int32()), "part": pa.array(np.full(found.num_rows, part), pa.int32()), "key": found.column("key"), "doc": found.column("doc"), "content": found.column("content")})
+            bytes_ = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(flat)])
+            for values, new in zip(kept, (anchor[at] & ANCHOR_BITS, key[at], low, high, bytes_), strict=True):
+                values.append(new)
+        if not kept[0]:
+            return pa.table([pa.array([], t) for t in SEGMENTS.types], schema=SEGMENTS)
+        anchor, key, low, high = (np.concatenate(v) for v in kept[:4])
+        order = np.argsort(key, kind="stable")  # a content may be in several steps
+        group = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+        low, high, at = np.minimum.reduceat(low[order], group), np.maximum.reduceat(high[order], group), order[group]
+        content = pa.chunked_array(kept[4]).take(pa.array(at))
+        bucket = (mixed(anchor[at].view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        part = np.full(len(at), table.column("part")[0].as_py(), np.int32)
+        return pa.table([pa.array(bucket), pa.array(part), pa.array(key[at]), pa.array(low), pa.array(low < high), content], schema=SEGMENTS)
 
     return cut_out
 
@@ -255,17 +267,28 @@ def _candidates(buckets: int):
 def _matched(table: pa.Table) -> pa.Table:
     """Smallest document of every window of every segment in a bucket, for each part that has it.
 
-    A segment with which no window of another document is equal, in any part, is left out where
-    its part has it in one document only; that document is then the smallest everywhere.
+    One value stands for all windows of a segment where they agree. Where a part has a segment in
+    one document only and that is the smallest for each window, nothing is to be removed there.
     """
     key, doc = np.asarray(table.column("key")), np.asarray(table.column("doc"))
-    order = np.lexsort((doc, key))
-    first = order[np.concatenate([[True], key[order][1:] != key[order][:-1]])] if len(order) else order
-    contents = table.column("content").take(pa.array(first)).to_pylist()
-    found = shared_windows(contents, doc[first]) if len(first) else []
-    at = np.searchsorted(key[first], key)
-    lists = pa.array(found, pa.list_(pa.int64()))
-    return pa.table({"part": table.column("part"), "key": table.column("key"), "smallest": lists.take(pa.array(at)) if len(at) else lists})
+    if not len(key):
+        return pa.table([pa.array([], t) for t in ANSWERS.types], schema=ANSWERS)
+    order = np.argsort(key, kind="stable")
+    group = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+    first, smallest = order[group], np.minimum.reduceat(doc[order], group)
+    varied = np.flatnonzero(np.asarray(pa.compute.binary_length(table.column("content")))[first] > 0)
+    values: list[np.ndarray] = list(smallest[:, None])
+    if len(varied):
+        contents = table.column("content").take(pa.array(first[varied])).to_pylist()
+        for k, found in zip(varied.tolist(), shared_windows(contents, smallest[varied]), strict=True):
+            values[k] = found[:1] if (found == found[0]).all() else found
+    sizes = np.array([len(v) for v in values])
+    lowest = np.minimum.reduceat(np.concatenate(values), np.cumsum(sizes) - sizes)
+    at = np.empty(len(key), np.int64)
+    at[order] = np.repeat(np.arange(len(group)), np.diff(np.append(group, len(key))))
+    wanted = np.flatnonzero(np.asarray(table.column("many")) | (lowest[at] < doc))
+    lists = pa.array(values, pa.list_(pa.int64())).take(pa.array(at[wanted]))
+    return pa.table([table.column("part").take(pa.array(wanted)), table.column("key").take(pa.array(wanted)), lists], schema=ANSWERS)
 
 
 def _removed(with_text: bool, keep: tuple[str, ...]):
@@ -285,7 +308,8 @@ def _removed(with_text: bool, keep: tuple[str, ...]):
                 n = end[hit] - start[hit] - LEAST + 1
                 ends = np.cumsum(n)
                 step = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n, n)
-                smallest = values[np.repeat(bounds[at[hit]], n) + step]
+                single = bounds[at[hit] + 1] - bounds[at[hit]] == 1  # one value for all windows
+                smallest = values[np.repeat(bounds[at[hit]], n) + np.where(np.repeat(single, n), 0, step)]
                 window = (np.repeat(start[hit], n) + step)[smallest < np.repeat(ids[text[hit]], n)]
                 np.add.at(cover, window, 1)
                 np.add.at(cover, window + LEAST, -1)
@@ -332,6 +356,8 @@ def _whole_characters(text: bytes, spans: list[dict]) -> str:
     return b"".join([*kept, text[at:]]).decode("utf-8", "replace")
 
 
+SEGMENTS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("many", pa.bool_()), ("content", pa.binary())])
+ANSWERS = pa.schema([("part", pa.int32()), ("key", pa.int64()), ("smallest", pa.list_(pa.int64()))])
 SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
     ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept_text", pa.string()),
@@ -371,9 +397,14 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, id_col: str = "doc_
     parts = max(1, -(-size // PART_BYTES))
     dealt = plain.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")).select("part", "doc_id", "text", *carried).repartition("part")
     by_part = dealt.groupBy("part")
-    anchors = by_part.applyInArrow(_anchors, "anchor long, part int")
-    repeated = anchors.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1").select("part", "anchor")
-    segments_ = by_part.cogroup(repeated.groupBy("part")).applyInArrow(_candidates(parts * BUCKETS_PER_PART), "bucket int, part int, key long, doc long, content binary")
+    anchors = by_part.applyInArrow(_anchors, "anchor long, content long, part int")
+    same = Window.partitionBy("anchor")
+    repeated = (
+        anchors.withColumn("n", F.count("*").over(same))
+        .withColumn("varied", F.min("content").over(same) != F.max("content").over(same))
+        .where("n > 1").select("part", "anchor", "varied")
+    )
+    segments_ = by_part.cogroup(repeated.groupBy("part")).applyInArrow(_candidates(parts * BUCKETS_PER_PART), "bucket int, part int, key long, doc long, many boolean, content binary")
     answers = segments_.groupBy("bucket").applyInArrow(_matched, "part int, key long, smallest array<long>")
     found = by_part.cogroup(answers.groupBy("part")).applyInArrow(_removed(with_text, tuple(carried)), RESULT + "".join(f", {c} {dict(plain.dtypes)[c]}" for c in carried))
     return found if with_text else found.drop("kept_text")
