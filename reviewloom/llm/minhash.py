@@ -9,18 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import cut, mixed, raw_text, text_slices
+from reviewloom.llm.common import cut, mixed, raw_text, shared_folder, text_slices
 from reviewloom.llm.components import components
 
-#: Permutations; each gives two values. Bands of ROWS values: 32 bands of 6 find a pair of
-#: similarity 0.85 with a chance of 1 - 3e-7, one of 0.8 with 1 - 6e-5.
-PERMUTATIONS, ROWS = 96, 6
-BANDS = 2 * PERMUTATIONS // ROWS
+#: Permutations of the estimate; each gives a minimum and a maximum. The first of them give the
+#: bands: 32 bands of 6 values find a pair of similarity 0.85 with a chance of 1 - 3e-7.
+PERMUTATIONS, BANDS, ROWS = 384, 32, 6
 #: Members of a bucket that are compared in one go.
 BLOCK = 512
-#: Share of equal signature values below which a pair isn't looked at: five standard errors
-#: under a similarity of 0.85 (a pair above that is missed with a chance of 3e-7).
-LEAST_ESTIMATE = 0.72
+#: Estimated similarity below which a pair isn't looked at: four standard errors under 0.85 (a
+#: pair above that is missed with a chance below 5e-5).
+LEAST_ESTIMATE = 0.795
 SHINGLE = 3
 NO_ID = -(1 << 63)
 _RNG = np.random.default_rng(77)
@@ -79,42 +78,47 @@ def shingle_sets(values: pa.StringArray) -> list[np.ndarray]:
     return sets
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """Minimum and maximum of a non-empty set under each permutation, 16 bits of each."""
+def signature(shingles: np.ndarray) -> tuple[bytes, bytes]:
+    """Band keys of a non-empty set, and four bits of its minimum and maximum under each permutation."""
     low, high = None, None
-    for at in range(0, len(shingles), 8192):
-        x = (shingles[at : at + 8192] >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(shingles), 4096):
+        x = (shingles[at : at + 4096] >> np.uint64(32)).astype(np.uint32)
         values = _A[:, None] * x[None, :] + _B[:, None]
         a, b = values.min(1), values.max(1)
         low, high = (a, b) if low is None else (np.minimum(low, a), np.maximum(high, b))
-    both = np.stack([low, high], 1).ravel()  # a permutation's two values are neighbours
-    return (both * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint16)
+    both = np.stack([low, high], 1).ravel() * np.uint32(0x9E3779B1)  # a permutation's two values are neighbours
+    parts = both[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
+    bands = mixed((parts * _WEIGHTS).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+    bits = (both >> np.uint32(28)).astype(np.uint8)
+    return bands.tobytes(), (bits[0::2] << 4 | bits[1::2]).tobytes()
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
-    """A bucket number for each band of each signature; different bands never share one on purpose."""
-    parts = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
-    return mixed((parts * _WEIGHTS).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def estimates(signatures: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Estimated similarity of each signature to one; four bits agree by chance once in sixteen."""
+    differ = signatures ^ one
+    equal = ((differ & 0xF0) == 0).mean(1) / 2 + ((differ & 0x0F) == 0).mean(1) / 2
+    return (16 * equal - 1) / 15
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, "text", 2 << 20):
             sets = shingle_sets(part.column("text"))
+            signatures = [signature(s) if len(s) else (None, None) for s in sets]
             keys = [int(mixed(s).sum(dtype=np.uint64)).to_bytes(8, "little") + int(mixed(s ^ _BASE).sum(dtype=np.uint64)).to_bytes(8, "little") for s in sets]
             arrays = [
                 part.column("doc_id"), part.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(keys, pa.binary()), pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array(keys, pa.binary()), *[pa.array(v, pa.binary()) for v in zip(*signatures, strict=True)],
             ]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "n_shingles", "set_key", "signature"])
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "n_shingles", "set_key", "bands", "signature"])
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            signatures = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+            bands = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64)
             cls = np.repeat(np.asarray(batch.column("cls")), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(band_keys(signatures).ravel()), pa.array(cls)], ["band", "cls"])
+            yield pa.RecordBatch.from_arrays([pa.array(bands), pa.array(cls)], ["band", "cls"])
 
 
 def _linked(percent: int):
@@ -132,45 +136,63 @@ def _linked(percent: int):
     return confirm
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full shingle sets are similar enough."""
-    rep = classes.select("cls", "rep_id", "rep_key")
-    ta = texts.select(F.col("doc_id").alias("id_a"), F.col("text_key").alias("key_a"), F.col("text").alias("text_a"))
-    tb = texts.select(F.col("doc_id").alias("id_b"), F.col("text_key").alias("key_b"), F.col("text").alias("text_b"))
-    named = pairs.join(rep.toDF("b", "id_b", "key_b"), "b").join(rep.toDF("a", "id_a", "key_a"), "a")
-    with_b = named.join(tb, ["id_b", "key_b"]).select("a", "b", "id_a", "key_a", "text_b")
-    return with_b.join(ta, ["id_a", "key_a"]).select("a", "b", "text_a", "text_b").mapInArrow(_linked(percent), "a long, b long").distinct()
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full shingle sets are similar enough; ``texts`` has cls and text."""
+    with_b = pairs.join(texts.toDF("b", "text_b"), "b")
+    return with_b.join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_linked(percent), "a long, b long").distinct()
 
 
-def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each (band, i, j) whose signatures agree enough; input is sorted by it."""
+def _texts_of(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """cls and text of the classes that share a bucket, written once for all comparisons."""
+    wanted = members.select("cls").distinct().join(classes.select("cls", F.col("rep_id").alias("doc_id"), F.col("rep_key").alias("text_key")), "cls")
+    path = shared_folder(members.sparkSession, "near-duplicates")
+    # Repeated rows give a class its text twice, which repeats a comparison but changes nothing.
+    wanted.join(texts, ["doc_id", "text_key"]).select("cls", "text").write.parquet(path)
+    return members.sparkSession.read.parquet(path)
+
+
+def _close_pairs(pivots: bool):
+    """Pairs of different components within each (band, i, j) whose signatures agree enough; input is sorted by it.
+
+    With ``pivots`` only pairs with one row: the one nearest to the most frequent values, which
+    is likely the text that the others are copies of.
+    """
+
 
     def compare(rows: list[tuple]) -> set[tuple[int, int]]:
-        cls, comp = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-        own = np.array([r[3] for r in rows])
-        signs = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(len(rows), -1)
-        found = set()
-        for k in range(len(rows)):
-            ok = (comp != comp[k]) & (cls > cls[k])
-            if rows[k][4] != rows[k][5]:  # two blocks: only pairs across them
+        cls, comp, own = (np.array([r[k] for r in rows]) for k in (0, 1, 3))
+        signs = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
+        found, some = set(), range(len(rows))
+        if pivots:
+            ordered = np.sort(signs, 0)
+            usual = ordered[len(rows) // 2]  # a value that half of the rows have is the median
+            some = [int((signs == usual).mean(1).argmax())]
+        for k in some:
+            ok = comp != comp[k] if pivots else (comp != comp[k]) & (cls > cls[k])
+            if not pivots and rows[k][4] != rows[k][5]:  # two blocks: only pairs across them
                 ok &= own != own[k]
             at = np.flatnonzero(ok)
             if len(at):
-                at = at[(signs[at] == signs[k]).mean(1) >= LEAST_ESTIMATE]
-                found.update((int(cls[k]), int(cls[x])) for x in at)
+                at = at[estimates(signs[at], signs[k]) >= LEAST_ESTIMATE]
+                found.update((min(int(cls[k]), int(cls[x])), max(int(cls[k]), int(cls[x]))) for x in at)
         return found
 
-    key, rows = None, []
-    for batch in batches:
-        out: set[tuple[int, int]] = set()
-        for r in zip(*(batch.column(c).to_pylist() for c in ("band", "i", "j", "cls", "comp", "signature", "block")), strict=True):
-            if r[:3] != key:
-                out |= compare(rows) if len(rows) > 1 else set()
-                key, rows = r[:3], []
-            rows.append((r[3], r[4], r[5], r[6], r[1], r[2]))
-        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
-    out = compare(rows) if len(rows) > 1 else set()
-    yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+    def table_of(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["a", "b"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            out: set[tuple[int, int]] = set()
+            for r in zip(*(batch.column(c).to_pylist() for c in ("band", "i", "j", "cls", "comp", "signature", "block")), strict=True):
+                if r[:3] != key:
+                    out |= compare(rows) if len(rows) > 1 else set()
+                    key, rows = r[:3], []
+                rows.append((*r[3:], r[1], r[2]))
+            yield table_of(out)
+        yield table_of(compare(rows) if len(rows) > 1 else set())
+
+    return walk
 
 
 def _divided(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -192,8 +214,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
 
     Documents with equal sets are one class from the start, so copies meet nothing twice. Classes
     that share a band are candidates: in each bucket all are compared with the smallest, which
-    joins most; then buckets with several components left are compared in blocks by signature,
-    and every pair that may be similar is confirmed on full sets. So no bucket is capped, and a
+    joins most; in buckets with several components left, all are compared with the one most like
+    the others; what is still apart is compared in blocks by signature, and every pair that may
+    be similar is confirmed on full sets. So no bucket is capped, and a
     link within a component is the only thing not looked for. Texts without a word, and null
     texts, have no shingles and are linked with nothing. Null ids come last in a component.
     Repeated rows fall into one class. An empty table gives no rows.
@@ -222,27 +245,30 @@ def one_per_group(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", te
 def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, n_shingles and component_id of every document; see near_duplicates."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(text_col).cast("string").alias("text"))
-    stored = cut(texts.mapInArrow(_sets, "doc_id long, text_key long, n_shingles long, set_key binary, signature binary"))
+    stored = cut(texts.mapInArrow(_sets, "doc_id long, text_key long, n_shingles long, set_key binary, bands binary, signature binary"))
     # Of equal sets the document with the smallest id stands for all.
     first = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), F.col("doc_id").alias("id"), F.col("text_key").alias("key")))
     classes = cut(
-        stored.where("n_shingles > 0").groupBy("set_key").agg(first.alias("rep"), F.first("signature").alias("signature"))
-        .select(F.monotonically_increasing_id().alias("cls"), "set_key", F.coalesce("rep.id", F.lit(NO_ID)).alias("rep_id"), F.col("rep.key").alias("rep_key"), "signature")
+        stored.where("n_shingles > 0").groupBy("set_key").agg(first.alias("rep"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+        .select(F.monotonically_increasing_id().alias("cls"), "set_key", F.coalesce("rep.id", F.lit(NO_ID)).alias("rep_id"), F.col("rep.key").alias("rep_key"), "bands", "signature")
     )
     texts = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).where(F.col("text").isNotNull())
-    bands = classes.select("cls", "signature").mapInArrow(_bands, "band long, cls long")
+    bands = classes.select("cls", "bands").mapInArrow(_bands, "band long, cls long")
     shared = bands.groupBy("band").agg(F.min("cls").alias("center"), F.max("cls").alias("last")).where("center < last")
     members = cut(bands.join(shared.select("band", "center"), "band"))
-    stars = cut(confirmed(members.where("cls != center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct(), classes, texts, percent))
-    links = stars
-    found = cut(components(links))
-    labelled = members.join(found.toDF("cls", "component"), "cls", "left").select("band", "cls", "center", F.coalesce("component", "cls").alias("comp"))
-    groups = _divided(labelled, classes).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    kept_texts = _texts_of(members, classes, texts)
     tried = members.where("cls != center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct()
-    rest = cut(groups.mapInArrow(_close_pairs, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        links = cut(stars.unionByName(confirmed(rest, classes, texts, percent)))
+    links = cut(confirmed(tried, kept_texts, percent))
+    for pivots in (True, False):
         found = cut(components(links))
+        labelled = members.join(found.toDF("cls", "component"), "cls", "left").select("band", "cls", F.coalesce("component", "cls").alias("comp"))
+        groups = _divided(labelled, classes).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+        close = cut(groups.mapInArrow(_close_pairs(pivots), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
+        if close.isEmpty():
+            break
+        links = cut(links.unionByName(confirmed(close, kept_texts, percent)))
+        tried = tried.unionByName(close)
+    found = cut(components(links))
     owner = classes.join(found.toDF("cls", "component"), "cls", "left").select("set_key", F.coalesce("component", "cls").alias("component"), F.when(F.col("rep_id") != NO_ID, F.col("rep_id")).alias("rep_id"))
     smallest = owner.groupBy("component").agg(F.min("rep_id").alias("component_id"))
     named = owner.join(smallest, "component").select("set_key", "component_id")
