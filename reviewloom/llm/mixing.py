@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import SPACE, cut
@@ -143,8 +143,9 @@ def mix(
             F.col(source_col).cast("string").alias("source"),
             word_count(F.col(text_col)).alias("size"),
             F.xxhash64(text_col).alias("text_hash"),
-            F.monotonically_increasing_id().alias("row_no"),
         )
+        # Equal rows are interchangeable; their numbers tell them apart in any layout of the table.
+        .withColumn("row_no", F.row_number().over(Window.partitionBy("source", "doc_id", "text_hash").orderBy("size")))
     )
     # One row per source, in code point order (byte order of UTF-8), null last.
     totals = units.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()

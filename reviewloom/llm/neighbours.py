@@ -177,7 +177,8 @@ def search(
     sizes = first.join(classes.select("class_id", F.size("members").alias("size")), "class_id")
     enough = sizes.groupBy("query_class").agg(F.sum("size").alias("n")).where(F.col("n") > k)
     short = cut(wanted.join(enough, F.col("class_id") == F.col("query_class"), "left_anti"))
-    everywhere = lambda df: df.select(F.size("embedding").alias("width"), F.lit(-1).alias("table_no"), F.lit(0).cast("long").alias("cell"), "class_id", "embedding")
+    first_names = ["width", "table_no", "cell", "class_id", "embedding"]
+    everywhere = lambda df: df.select(F.size("embedding").alias("width"), F.lit(-1).alias("table_no"), F.lit(0).cast("long").alias("cell"), "class_id", "embedding").toDF(*first_names)
     if not short.isEmpty():
         more = _top(_met(everywhere(vectors_of), everywhere(short), k + 1), k + 1)
         first = first.join(short, F.col("query_class") == short["class_id"], "left_anti").unionByName(more)

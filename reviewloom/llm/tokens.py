@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Pieces that a worker remembers. This bounds memory; a piece not remembered is encoded again.
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
 #: Pieces that are encoded as one text.
 TOGETHER = 256
 MARK = "\x01"
