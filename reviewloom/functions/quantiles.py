@@ -34,18 +34,32 @@ def _order_statistic(values: DataFrame, rank: int, low: float, high: float) -> f
 
 
 def exact_quantile(df: DataFrame, column: str, share: float) -> float:
-    """Linear interpolation between the two nearest order statistics of non-null values."""
-    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    count, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    """Linear interpolation between the two nearest order statistics of the values.
+
+    Null and NaN are no values. Infinite ones count at the ends; bins span finite ones only.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
+    finite = F.abs("v") < math.inf
+    count, below, above, low, high = values.agg(
+        F.count("*"), F.count_if(F.col("v") == -math.inf), F.count_if(F.col("v") == math.inf),
+        F.min(F.when(finite, F.col("v"))), F.max(F.when(finite, F.col("v"))),
+    ).first()
     if not count:
         raise ValueError(f"no values in {column}")
     position = share * (count - 1)
     rank = math.floor(position)
-    lower = _order_statistic(values, rank, low, high)
+    if rank < below:
+        lower = -math.inf
+    elif rank >= count - above:
+        lower = math.inf
+    else:
+        lower = _order_statistic(values.where(finite), rank - below, low, high)
     if rank == position:
         return lower
     up_to, following = values.agg(
         F.count_if(F.col("v") <= lower), F.min(F.when(F.col("v") > lower, F.col("v")))
     ).first()
     upper = lower if up_to > rank + 1 else following
+    if lower == upper or math.isinf(lower):
+        return lower
     return lower + (upper - lower) * (position - rank)

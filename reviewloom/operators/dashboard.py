@@ -26,16 +26,17 @@ def in_scope(
     """Rows of the chosen branches within an inclusive range of yyyy-MM months.
 
     ``month`` names a month column. Without it the range is put as bounds on
-    ``review_date``, which reach the Parquet scan. No branches means no rows.
+    ``review_date``, which reach the Parquet scan. A missing bound leaves that side open.
+    No branches means no rows.
     """
     scoped = df.where(F.col("branch_id").isin(list(branches)) if branches else F.lit(False))
-    if not (first_month and last_month):
-        return scoped
-    if month is not None:
-        return scoped.where(F.col(month).between(first_month, last_month))
-    start = F.to_date(F.lit(f"{first_month}-01")).cast("timestamp")
-    end = F.add_months(F.to_date(F.lit(f"{last_month}-01")), 1).cast("timestamp")
-    return scoped.where((F.col("review_date") >= start) & (F.col("review_date") < end))
+    if first_month:
+        start = F.to_date(F.lit(f"{first_month}-01")).cast("timestamp")
+        scoped = scoped.where(F.col(month) >= first_month if month else F.col("review_date") >= start)
+    if last_month:
+        end = F.add_months(F.to_date(F.lit(f"{last_month}-01")), 1).cast("timestamp")
+        scoped = scoped.where(F.col(month) <= last_month if month else F.col("review_date") < end)
+    return scoped
 
 
 def negative_reviews(reviews: DataFrame) -> DataFrame:

@@ -503,7 +503,7 @@ def alerts_by_severity(spark, folder):
 @query
 def rating_quantile(spark, folder):
     """The exact quantile behind the anomaly flag, over monthly ratings."""
-    rows = anomalies.eligible_months(_features(spark, folder))
+    rows = anomalies.eligible_months(_features(spark, folder)).checkpoint()  # read once for each pass
     value = exact_quantile(rows, "average_rating", 0.1)
     return rows.agg(F.count("*").alias("eligible_months")).withColumn("cut", F.round(F.lit(value), 6))
 

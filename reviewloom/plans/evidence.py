@@ -57,12 +57,18 @@ def brand_evidence(tables: Mapping[str, DataFrame], topics: int = 5, rules: int
     }
 
 
+def brand_alerts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All flagged months of the brand: one table that every brand-wide question shares."""
+    return tables["anomalies"].where("is_anomaly").orderBy("branch_id", "month")
+
+
 def evidence(routed: DataFrame, tables: Mapping[str, DataFrame], key: str = "question_id") -> DataFrame:
     """Every routed question with the evidence of its scope.
 
     A comparison gets one struct per branch, a branch question its own row, a brand
-    question the brand facts and the number of flagged months. A requested month that
-    has no row is marked as not observed.
+    question the brand facts and the number of flagged months; ``brand_alerts`` lists these once for
+    all such questions. A requested month that has no row is marked as not observed, and a
+    branch without reviews has a bundle without a summary.
     """
     monthly = tables["monthly_summary"]
     month_row = F.struct(*(F.col(c) for c in monthly.columns if c not in ("branch_id", "month")))
@@ -70,7 +76,7 @@ def evidence(routed: DataFrame, tables: Mapping[str, DataFrame], key: str = "que
     asked = routed.select(key, "period", F.explode("branch_ids").alias("branch_id"))
     per_branch = (
         asked.join(months, ["branch_id", "period"], "left")
-        .join(branch_evidence(tables), "branch_id", "inner")
+        .join(branch_evidence(tables), "branch_id", "left")
         .withColumn(
             "period_summary",
             F.when(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions import labels
 from reviewloom.functions.values import shift_month, to_number
 from reviewloom.operators import lookups, routing
-from reviewloom.plans.evidence import evidence
+from reviewloom.plans.evidence import brand_alerts, evidence
 from reviewloom.schemas import table_schema
 from reviewloom.sources import tables
 
@@ -221,3 +221,13 @@ def test_csv_and_json_sinks(spark, tmp_path, rows):
     tables.write_csv(quoted, str(tmp_path / "quoted"))
     back = tables.read_csv(spark, str(tmp_path / "quoted"), quoted.schema)
     assert rows(back) == rows(quoted)
+
+
+def test_evidence_of_a_branch_without_reviews(spark, branches, monthly, rows):
+    tables = result_tables(spark, monthly)
+    routed = routing.route_questions(questions(spark, "Lakeside in July 2026"), branches)
+    routed = routed.withColumn("branch_ids", F.array(F.lit("lake_side"), F.lit("never_opened")))
+    (one,) = rows(evidence(routed, tables))
+    found = {b["branch_id"]: b for b in one["branches"]}
+    assert found["never_opened"]["branch_summary"] is None and found["lake_side"]["branch_summary"] is not None
+    assert brand_alerts(tables).count() == 1

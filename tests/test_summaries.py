@@ -100,6 +100,12 @@ def test_rating_buckets(spark, rows):
 def test_scopes(sample, rows):
     assert dashboard.in_scope(sample, []).count() == 0
     assert dashboard.in_scope(sample, ["a", "b"], "2026-02", "2026-03").count() == 1
+    for months in ((None, "2026-02"), ("2026-03", None)):
+        both = dashboard.in_scope(sample, ["a", "b"], *months)
+        first, last = months[0] or "0000-00", months[1] or "9999-12"
+        shown = F.date_format("review_date", "yyyy-MM")
+        expected = sample.where(F.col("branch_id").isin("a", "b") & shown.between(first, last))
+        assert sorted(map(str, both.collect())) == sorted(map(str, expected.collect()))
     (kpis,) = rows(dashboard.scope_kpis(sample))
     assert (kpis["negative_reviews"], kpis["positive_reviews"], kpis["reviews_in_scope"]) == (1, 1, 4)
     assert kpis["negative_ratio_pct"] == 25.0
@@ -155,6 +161,13 @@ def test_exact_quantile(spark, share):
     assert exact_quantile(df, "v", share) == pytest.approx(np.quantile(values, share), abs=1e-12)
 
 
+def test_exact_quantile_with_values_that_are_not_finite(spark):
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, float("inf"), float("-inf"), float("nan"), None)], "v double")
+    assert exact_quantile(df, "v", 0.5) == 2.0
+    assert exact_quantile(df, "v", 0.0) == float("-inf") and exact_quantile(df, "v", 1.0) == float("inf")
+    assert exact_quantile(df, "v", 0.6) == pytest.approx(2.4)
+
+
 def test_exact_quantile_of_nothing(spark):
     with pytest.raises(ValueError):
         exact_quantile(spark.createDataFrame([], "v double"), "v", 0.5)
