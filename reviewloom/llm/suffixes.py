@@ -21,7 +21,7 @@ from reviewloom.llm.common import mixed
 
 LEAST = 50
 #: Bytes of a k-gram that may be an anchor.
-GRAM = 15
+GRAM = 20
 #: Text bytes of a part (documents that are cut up together), and buckets for each part.
 PART_BYTES, BUCKETS_PER_PART = 12 << 20, 4
 #: Bytes that one numpy step works on.
