@@ -16,17 +16,20 @@ from reviewloom.llm.components import components
 #: bands: 32 bands of 6 values find a pair of similarity 0.85 with a chance of 1 - 3e-7.
 PERMUTATIONS, BANDS, ROWS = 384, 32, 6
 #: Members of a bucket that are compared in one go.
-BLOCK = 512
-#: Estimated similarity below which a pair isn't looked at: four standard errors under 0.85 (a
-#: pair above that is missed with a chance below 5e-5).
-LEAST_ESTIMATE = 0.795
+BLOCK = 2048
+#: Standard errors that an estimate may lie under the least similarity before a pair is passed over
+#: (a pair above it is missed with a chance below 5e-5).
+ERRORS = 4.25
+#: Smallest shingle hashes (of 24 bits) that the finer estimate has of each set; a set of no more
+#: shingles is compared as a whole. The slack covers chance agreement of hashes.
+SKETCH, SLACK = 256, 0.01
 SHINGLE = 3
 NO_ID = -(1 << 63)
 _RNG = np.random.default_rng(77)
 _A = _RNG.integers(0, 1 << 31, PERMUTATIONS, np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, PERMUTATIONS, np.uint64).astype(np.uint32)
 _WEIGHTS = _RNG.integers(0, 1 << 63, (BANDS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
-_MIX = _RNG.integers(0, 1 << 63, SHINGLE + 2, np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = _RNG.integers(0, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _LOWER[65:91] += np.uint64(32)
@@ -62,19 +65,23 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, np.diff(np.searchsorted(starts, offsets))
 
 
-def shingle_sets(values: pa.StringArray) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
+def shingle_sets(values: pa.StringArray, width: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles of ``width`` (up to 8) words."""
     words, counts = word_hashes(*raw_text(values))
     ends = np.cumsum(counts)
-    if len(words) >= SHINGLE:
-        shingles = mixed(words[:-2] * _MIX[0] + words[1:-1] * _MIX[1] + words[2:] * _MIX[2])
+    if len(words) >= width:
+        places = len(words) - width + 1
+        shingles = words[:places] * _MIX[0]
+        for k in range(1, width):
+            shingles += words[k : k + places] * _MIX[k]
+        shingles = mixed(shingles)
     sets = []
     for end, n in zip(ends.tolist(), counts.tolist(), strict=True):
-        if n >= SHINGLE:
-            sets.append(np.unique(shingles[end - n : end - SHINGLE + 1]))
+        if n >= width:
+            sets.append(np.unique(shingles[end - n : end - width + 1]))
         else:
             whole = words[end - n : end]
-            sets.append(mixed((whole * _MIX[3 : 3 + n]).sum(keepdims=True, dtype=np.uint64) + np.uint64(n)) if n else whole)
+            sets.append(mixed((whole * _MIX[8 : 8 + n]).sum(keepdims=True, dtype=np.uint64) + np.uint64(n)) if n else whole)
     return sets
 
 
@@ -100,17 +107,65 @@ def estimates(signatures: np.ndarray, one: np.ndarray) -> np.ndarray:
     return (16 * equal - 1) / 15
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in text_slices(batch, "text", 2 << 20):
-            sets = shingle_sets(part.column("text"))
-            signatures = [signature(s) if len(s) else (None, None) for s in sets]
-            keys = [int(mixed(s).sum(dtype=np.uint64)).to_bytes(8, "little") + int(mixed(s ^ _BASE).sum(dtype=np.uint64)).to_bytes(8, "little") for s in sets]
-            arrays = [
-                part.column("doc_id"), part.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(keys, pa.binary()), *[pa.array(v, pa.binary()) for v in zip(*signatures, strict=True)],
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "n_shingles", "set_key", "bands", "signature"])
+def least_estimate(share: float, values: int) -> float:
+    """Estimate from so many values below which a similarity of ``share`` is all but excluded."""
+    return share - ERRORS * (share * (1 - share) / values) ** 0.5
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """The smallest distinct 24-bit hashes of a set."""
+    return np.unique((shingles >> np.uint64(20)).astype(np.uint32) & np.uint32(0xFFFFFF))[:SKETCH].view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def read_sketch(data: bytes) -> np.ndarray:
+    """The hashes of a sketch, in order."""
+    parts = np.frombuffer(data, np.uint8).reshape(-1, 3).astype(np.int32)
+    return parts[:, 0] | parts[:, 1] << 8 | parts[:, 2] << 16
+
+
+def sketch_excess(one: np.ndarray, others: list[np.ndarray], share: float) -> np.ndarray:
+    """Estimated similarity of each sketch to one, less what a similarity of ``share`` is sure to reach.
+
+    Below the smaller end of two sketches both show their sets whole, which is a fair sample of
+    the union; where no sketch is cut off it is the union itself, without an error.
+    """
+    sizes = np.array([len(x) for x in others])
+    flat, starts = np.concatenate(others), np.cumsum(sizes) - sizes
+    top = np.iinfo(np.int32).max
+    ends = np.where(sizes < SKETCH, top, flat[starts + sizes - 1])
+    ends = np.minimum(ends, top if len(one) < SKETCH else one[-1])
+    within = flat <= np.repeat(ends, sizes)
+    both = within & (one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat)
+    shared, theirs = np.add.reduceat(both, starts), np.add.reduceat(within, starts)
+    union = np.searchsorted(one, ends, "right") + theirs - shared
+    error = np.where(ends == top, 0.0, np.sqrt(share * (1 - share) / union))
+    return shared / union - (share - SLACK - ERRORS * error)
+
+
+def _sets(width: int):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text", 2 << 20):
+                sets = shingle_sets(part.column("text"), width)
+                signatures = [signature(s) if len(s) else (None, None) for s in sets]
+                keys = [int(mixed(s).sum(dtype=np.uint64)).to_bytes(8, "little") + int(mixed(s ^ _BASE).sum(dtype=np.uint64)).to_bytes(8, "little") for s in sets]
+                arrays = [
+                    part.column("doc_id"), part.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(keys, pa.binary()), *[pa.array(v, pa.binary()) for v in zip(*signatures, strict=True)],
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "n_shingles", "set_key", "bands", "signature"])
+
+    return read
+
+
+def _sketches(width: int):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text", 2 << 20):
+                sketches = [sketch(s) for s in shingle_sets(part.column("text"), width)]
+                yield pa.RecordBatch.from_arrays([part.column("cls"), pa.array(sketches, pa.binary())], ["cls", "sketch"])
+
+    return read
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,14 +176,14 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(bands), pa.array(cls)], ["band", "cls"])
 
 
-def _linked(percent: int):
+def _linked(percent: int, width: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for half in text_slices(batch, "text_a", 2 << 20):
                 for part in text_slices(half, "text_b", 2 << 20):
                     ours, at = part.column("text_a").dictionary_encode(), []
-                    sets = shingle_sets(ours.dictionary)
-                    for k, theirs in zip(np.asarray(ours.indices).tolist(), shingle_sets(part.column("text_b")), strict=True):
+                    sets = shingle_sets(ours.dictionary, width)
+                    for k, theirs in zip(np.asarray(ours.indices).tolist(), shingle_sets(part.column("text_b"), width), strict=True):
                         shared = len(np.intersect1d(sets[k], theirs, assume_unique=True))
                         at.append(100 * shared >= percent * (len(sets[k]) + len(theirs) - shared))
                     yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(at, pa.bool_()))
@@ -136,10 +191,10 @@ def _linked(percent: int):
     return confirm
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) of classes whose full shingle sets are similar enough; ``texts`` has cls and text."""
     with_b = pairs.join(texts.toDF("b", "text_b"), "b")
-    return with_b.join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_linked(percent), "a long, b long").distinct()
+    return with_b.join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_linked(percent, width), "a long, b long").distinct()
 
 
 def _texts_of(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -151,30 +206,38 @@ def _texts_of(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataF
     return members.sparkSession.read.parquet(path)
 
 
-def _close_pairs(pivots: bool):
-    """Pairs of different components within each (band, i, j) whose signatures agree enough; input is sorted by it.
+def _close_pairs(step: str, share: float):
+    """Pairs of different components within each (band, i, j) that may be similar; input is sorted by it.
 
-    With ``pivots`` only pairs with one row: the one nearest to the most frequent values, which
-    is likely the text that the others are copies of.
+    Step "pivots" takes only pairs with one row: the one nearest to the most frequent values,
+    which is likely the text that the others are copies of. Step "nearest" takes, for each row
+    outside the largest component, the pair with the largest estimate. Step "rest" takes all.
     """
-
+    least = least_estimate(share, 2 * PERMUTATIONS)
 
     def compare(rows: list[tuple]) -> set[tuple[int, int]]:
         cls, comp, own = (np.array([r[k] for r in rows]) for k in (0, 1, 3))
         signs = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
         found, some = set(), range(len(rows))
-        if pivots:
+        if step == "pivots":
             ordered = np.sort(signs, 0)
             usual = ordered[len(rows) // 2]  # a value that half of the rows have is the median
             some = [int((signs == usual).mean(1).argmax())]
+        else:
+            sketches = [read_sketch(r[4]) for r in rows]
+            names, counts = np.unique(comp, return_counts=True)
+            some = np.flatnonzero(comp != names[counts.argmax()]).tolist()  # a pair across components has one of these
         for k in some:
-            ok = comp != comp[k] if pivots else (comp != comp[k]) & (cls > cls[k])
-            if not pivots and rows[k][4] != rows[k][5]:  # two blocks: only pairs across them
+            ok = comp != comp[k]
+            if step != "pivots" and rows[k][5] != rows[k][6]:  # two blocks: only pairs across them
                 ok &= own != own[k]
             at = np.flatnonzero(ok)
             if len(at):
-                at = at[estimates(signs[at], signs[k]) >= LEAST_ESTIMATE]
-                found.update((min(int(cls[k]), int(cls[x])), max(int(cls[k]), int(cls[x]))) for x in at)
+                at = at[estimates(signs[at], signs[k]) >= least]
+            if len(at) and step != "pivots":
+                excess = sketch_excess(sketches[k], [sketches[x] for x in at.tolist()], share)
+                at = at[excess >= 0] if step == "rest" else at[excess == excess.max()][:1] if excess.max() >= 0 else at[:0]
+            found.update((min(int(cls[k]), int(cls[x])), max(int(cls[k]), int(cls[x]))) for x in at)
         return found
 
     def table_of(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
@@ -184,7 +247,7 @@ def _close_pairs(pivots: bool):
         key, rows = None, []
         for batch in batches:
             out: set[tuple[int, int]] = set()
-            for r in zip(*(batch.column(c).to_pylist() for c in ("band", "i", "j", "cls", "comp", "signature", "block")), strict=True):
+            for r in zip(*(batch.column(c).to_pylist() for c in ("band", "i", "j", "cls", "comp", "signature", "block", "sketch")), strict=True):
                 if r[:3] != key:
                     out |= compare(rows) if len(rows) > 1 else set()
                     key, rows = r[:3], []
@@ -195,19 +258,23 @@ def _close_pairs(pivots: bool):
     return walk
 
 
-def _divided(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Buckets that still hold several components, in blocks; each pair of blocks is a group."""
+def _still_open(members: DataFrame) -> DataFrame:
+    """Buckets that still hold several components, with their number of blocks."""
     stats = members.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
-    open_ = stats.where("low < high AND n > 2").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(open_, "band").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    return stats.where("low < high AND n > 2").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+
+
+def _divided(members: DataFrame, signs: DataFrame) -> DataFrame:
+    """Buckets that still hold several components, in blocks; each pair of blocks is a group."""
+    rows = members.join(_still_open(members), "band").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select(
         "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "comp", "block"
-    ).join(classes.select("cls", "signature"), "cls")
+    ).join(signs, "cls")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Components of documents whose three-word shingle sets are similar.
+def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
+    """Components of documents whose sets of shingles (of ``width`` words) are similar.
 
     Two documents are linked if ``100 * intersection >= percent * union``. Returns doc_id,
     n_shingles, component_id (smallest doc_id of the component) and kept (is it that one).
@@ -215,22 +282,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     Documents with equal sets are one class from the start, so copies meet nothing twice. Classes
     that share a band are candidates: in each bucket all are compared with the smallest, which
     joins most; in buckets with several components left, all are compared with the one most like
-    the others; what is still apart is compared in blocks by signature, and every pair that may
-    be similar is confirmed on full sets. So no bucket is capped, and a
+    the others; what is still apart is compared in blocks by signature and by a sketch of the set,
+    first to link each row with its nearest, then for all pairs left, and every pair that may be
+    similar is confirmed on full sets. The bands are made for a ``percent`` of 80 or more. So no bucket is capped, and a
     link within a component is the only thing not looked for. Texts without a word, and null
     texts, have no shingles and are linked with nothing. Null ids come last in a component.
     Repeated rows fall into one class. An empty table gives no rows.
     """
-    found = grouped(docs, percent, id_col, text_col)
+    found = grouped(docs, percent, id_col, text_col, width)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def one_per_group(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_per_group(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
     """The documents without near duplicates: of each component one row with the smallest id, with all columns.
 
     Documents without a word stay, each id and text once.
     """
-    found = grouped(docs, percent, id_col, text_col)
+    found = grouped(docs, percent, id_col, text_col, width)
     alone = F.when(F.col("n_shingles") == 0, F.xxhash64("doc_id", "text_key"))
     first = F.row_number().over(Window.partitionBy("component_id", alone).orderBy(F.asc_nulls_last("doc_id"), "text_key"))
     chosen = found.withColumn("n", first).where("n = 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
@@ -242,10 +310,10 @@ def one_per_group(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", te
     return once.select(*[F.col("_row").getField(c).alias(c) for c in names])
 
 
-def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
     """doc_id, text_key, n_shingles and component_id of every document; see near_duplicates."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(text_col).cast("string").alias("text"))
-    stored = cut(texts.mapInArrow(_sets, "doc_id long, text_key long, n_shingles long, set_key binary, bands binary, signature binary"))
+    stored = cut(texts.mapInArrow(_sets(width), "doc_id long, text_key long, n_shingles long, set_key binary, bands binary, signature binary"))
     # Of equal sets the document with the smallest id stands for all.
     first = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), F.col("doc_id").alias("id"), F.col("text_key").alias("key")))
     classes = cut(
@@ -258,15 +326,20 @@ def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col
     members = cut(bands.join(shared.select("band", "center"), "band"))
     kept_texts = _texts_of(members, classes, texts)
     tried = members.where("cls != center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct()
-    links = cut(confirmed(tried, kept_texts, percent))
-    for pivots in (True, False):
+    links = cut(confirmed(tried, kept_texts, percent, width))
+    signs = classes.select("cls", "signature", F.lit(None).cast("binary").alias("sketch"))
+    for step in ("pivots", "nearest", "rest"):
         found = cut(components(links))
         labelled = members.join(found.toDF("cls", "component"), "cls", "left").select("band", "cls", F.coalesce("component", "cls").alias("comp"))
-        groups = _divided(labelled, classes).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-        close = cut(groups.mapInArrow(_close_pairs(pivots), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
+        if step == "nearest":
+            wanted = labelled.join(_still_open(labelled), "band").select("cls").distinct()
+            sketches = kept_texts.join(wanted, "cls").mapInArrow(_sketches(width), "cls long, sketch binary").groupBy("cls").agg(F.first("sketch").alias("sketch"))
+            signs = cut(classes.select("cls", "signature").join(sketches, "cls"))
+        groups = _divided(labelled, signs).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+        close = cut(groups.mapInArrow(_close_pairs(step, percent / 100), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
         if close.isEmpty():
-            break
-        links = cut(links.unionByName(confirmed(close, kept_texts, percent)))
+            continue
+        links = cut(links.unionByName(confirmed(close, kept_texts, percent, width)))
         tried = tried.unionByName(close)
     found = cut(components(links))
     owner = classes.join(found.toDF("cls", "component"), "cls", "left").select("set_key", F.coalesce("component", "cls").alias("component"), F.when(F.col("rep_id") != NO_ID, F.col("rep_id")).alias("rep_id"))
