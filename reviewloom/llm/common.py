@@ -29,6 +29,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Store the rows as Parquet in the shared folder; unlike a checkpoint their size is known, so small ones are broadcast."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the checkpoint folder, which all executors share."""
     ensure_checkpoint_dir(spark)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import cut, mixed, raw_text, shared_folder, text_slices
+from reviewloom.llm.common import mixed, raw_text, text_slices, written
 from reviewloom.llm.components import components
 
 #: Permutations of the estimate; each gives a minimum and a maximum. The first of them give the
@@ -200,10 +200,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int = SHI
 def _texts_of(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """cls and text of the classes that share a bucket, written once for all comparisons."""
     wanted = members.select("cls").distinct().join(classes.select("cls", F.col("rep_id").alias("doc_id"), F.col("rep_key").alias("text_key")), "cls")
-    path = shared_folder(members.sparkSession, "near-duplicates")
     # Repeated rows give a class its text twice, which repeats a comparison but changes nothing.
-    wanted.join(texts, ["doc_id", "text_key"]).select("cls", "text").write.parquet(path)
-    return members.sparkSession.read.parquet(path)
+    return written(wanted.join(texts, ["doc_id", "text_key"]).select("cls", "text"), "texts")
 
 
 def _close_pairs(step: str, share: float):
@@ -313,35 +311,36 @@ def one_per_group(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", te
 def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
     """doc_id, text_key, n_shingles and component_id of every document; see near_duplicates."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(text_col).cast("string").alias("text"))
-    stored = cut(texts.mapInArrow(_sets(width), "doc_id long, text_key long, n_shingles long, set_key binary, bands binary, signature binary"))
+    stored = written(texts.mapInArrow(_sets(width), "doc_id long, text_key long, n_shingles long, set_key binary, bands binary, signature binary"), "sets")
     # Of equal sets the document with the smallest id stands for all.
     first = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), F.col("doc_id").alias("id"), F.col("text_key").alias("key")))
-    classes = cut(
+    classes = written(
         stored.where("n_shingles > 0").groupBy("set_key").agg(first.alias("rep"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
-        .select(F.monotonically_increasing_id().alias("cls"), "set_key", F.coalesce("rep.id", F.lit(NO_ID)).alias("rep_id"), F.col("rep.key").alias("rep_key"), "bands", "signature")
+        .select(F.monotonically_increasing_id().alias("cls"), "set_key", F.coalesce("rep.id", F.lit(NO_ID)).alias("rep_id"), F.col("rep.key").alias("rep_key"), "bands", "signature"),
+        "classes",
     )
     texts = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).where(F.col("text").isNotNull())
     bands = classes.select("cls", "bands").mapInArrow(_bands, "band long, cls long")
     shared = bands.groupBy("band").agg(F.min("cls").alias("center"), F.max("cls").alias("last")).where("center < last")
-    members = cut(bands.join(shared.select("band", "center"), "band"))
+    members = written(bands.join(shared.select("band", "center"), "band"), "members")
     kept_texts = _texts_of(members, classes, texts)
     tried = members.where("cls != center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct()
-    links = cut(confirmed(tried, kept_texts, percent, width))
+    links = written(confirmed(tried, kept_texts, percent, width), "links")
     signs = classes.select("cls", "signature", F.lit(None).cast("binary").alias("sketch"))
     for step in ("pivots", "nearest", "rest"):
-        found = cut(components(links))
+        found = written(components(links), "components")
         labelled = members.join(found.toDF("cls", "component"), "cls", "left").select("band", "cls", F.coalesce("component", "cls").alias("comp"))
         if step == "nearest":
             wanted = labelled.join(_still_open(labelled), "band").select("cls").distinct()
             sketches = kept_texts.join(wanted, "cls").mapInArrow(_sketches(width), "cls long, sketch binary").groupBy("cls").agg(F.first("sketch").alias("sketch"))
-            signs = cut(classes.select("cls", "signature").join(sketches, "cls"))
+            signs = written(classes.select("cls", "signature").join(sketches, "cls"), "sketches")
         groups = _divided(labelled, signs).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-        close = cut(groups.mapInArrow(_close_pairs(step, percent / 100), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
+        close = written(groups.mapInArrow(_close_pairs(step, percent / 100), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"), "close")
         if close.isEmpty():
             continue
-        links = cut(links.unionByName(confirmed(close, kept_texts, percent, width)))
+        links = written(links.unionByName(confirmed(close, kept_texts, percent, width)), "links")
         tried = tried.unionByName(close)
-    found = cut(components(links))
+    found = written(components(links), "components")
     owner = classes.join(found.toDF("cls", "component"), "cls", "left").select("set_key", F.coalesce("component", "cls").alias("component"), F.when(F.col("rep_id") != NO_ID, F.col("rep_id")).alias("rep_id"))
     smallest = owner.groupBy("component").agg(F.min("rep_id").alias("component_id"))
     named = owner.join(smallest, "component").select("set_key", "component_id")
