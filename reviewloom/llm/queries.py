@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import language, minhash, mixing, neighbours, packing, quality, sharding, suffixes, tokenfiles, toxicity
+from reviewloom.llm import language, minhash, mixing, neighbours, oracles, packing, quality, sharding, suffixes, tokenfiles, toxicity
 from reviewloom.llm.common import remainder, table
 
 
@@ -34,7 +34,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of the rule cascade."""
-    return quality.quality(table(spark, sf_dir, "documents"))
+    # Which rule rejects first depends on measured costs, so it isn't part of the result.
+    return quality.quality(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +86,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_oracles() -> dict[str, str]:
     """DuckDB SQL of the corpus queries that SQL can express."""
-    return {}
+    return oracles.all_oracles()
