@@ -20,8 +20,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return minhash.one_per_group(docs)
+    """One document of each group that shares four fifths of its five-word shingles."""
+    return minhash.one_per_group(docs, percent=80, width=5)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

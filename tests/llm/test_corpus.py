@@ -104,6 +104,29 @@ def test_near_duplicates_match_all_pairs(docs, texts, odd, empty):
     assert kept.columns == docs.columns and kept.count() == sum(find(i) == i for i in sets)
 
 
+def test_width_and_percent_are_parameters(spark):
+    words = [f"w{i}" for i in range(100)]
+    near = [*words[:98], "x", "y"]  # 94 of 98 five-word shingles are shared
+    far = [w if i % 20 else "z" for i, w in enumerate(words)]
+    rows = [(i, " ".join(t)) for i, t in enumerate([words, near, far, words[:4], words[:4]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs, percent=80, width=5).collect()}
+    assert found == {0: (96, 0), 1: (96, 0), 2: (96, 2), 3: (1, 3), 4: (1, 3)}
+    assert {r.doc_id for r in minhash.one_per_group(docs, percent=80, width=5).collect()} == {0, 2, 3}
+
+
+def test_sketches_keep_every_similar_pair():
+    rng = np.random.default_rng(4)
+    for n in (3, 40, 200, 256, 257, 3_000):
+        one = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        others = []
+        for part in (1.0, 0.93, 0.5):  # shared part of both sets; 0.93 is a similarity of 0.87
+            shared = int(np.ceil(len(one) * part))
+            others.append(np.unique(np.concatenate([one[:shared], rng.integers(0, 1 << 63, n - shared).astype(np.uint64)])))
+        excess = minhash.sketch_excess(minhash.read_sketch(minhash.sketch(one)), [minhash.read_sketch(minhash.sketch(x)) for x in others], 0.85)
+        assert excess[0] >= 0 and excess[1] >= 0 and excess[2] < 0
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 99)], "a long, b long")
     found = dict(components(links).collect())
