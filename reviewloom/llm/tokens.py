@@ -15,6 +15,8 @@ from tokenizers import Tokenizer
 REMEMBERED = 400_000
 #: Pieces that are encoded as one text.
 TOGETHER = 256
+#: Such texts in one call; the tokenizer's results take far more memory than the ids.
+TEXTS = 16
 MARK = "\x01"
 
 
@@ -67,17 +69,21 @@ class PieceEncoder:
             else:
                 plain.append(piece)
         groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        if self.split == "words":
-            for group, ids in zip(groups, self._encode([f" {MARK} ".join(g) for g in groups]), strict=True):
-                ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
-                begins = np.concatenate([[0], ends[:-1] + 1])
+        for i in range(0, len(groups), TEXTS):
+            some = groups[i : i + TEXTS]
+            if self.split == "words":
+                texts = [f" {MARK} ".join(g) for g in some]
+            else:
+                texts = ["".join(f" {p}" for p in g) for g in some]
+            for group, ids in zip(some, self._encode(texts), strict=True):
+                if self.split == "words":
+                    ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
+                    begins = np.concatenate([[0], ends[:-1] + 1])
+                else:
+                    begins = np.flatnonzero(self.starts[ids])
+                    ends = np.append(begins[1:], len(ids))
                 for piece, a, b in zip(group, begins.tolist(), ends.tolist(), strict=True):
                     found[piece] = ids[a:b].tobytes()
-        else:
-            for group, ids in zip(groups, self._encode(["".join(f" {p}" for p in g) for g in groups]), strict=True):
-                begins = np.flatnonzero(self.starts[ids])
-                for piece, a, b in zip(group, begins.tolist(), [*begins[1:].tolist(), len(ids)], strict=True):
-                    found[piece] = ids[a:b].tobytes()
         return found
 
     def _ids_of(self, pieces: list[str]) -> list[bytes]:
