@@ -294,11 +294,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
 def one_per_group(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
     """The documents without near duplicates: of each component one row with the smallest id, with all columns.
 
-    Documents without a word stay, each id and text once.
+    Components are told apart by their links, not by ids: unrelated texts with null ids, or with
+    one id, all stay. Documents without a word stay, each id and text once.
     """
     found = grouped(docs, percent, id_col, text_col, width)
-    alone = F.when(F.col("n_shingles") == 0, F.xxhash64("doc_id", "text_key"))
-    first = F.row_number().over(Window.partitionBy("component_id", alone).orderBy(F.asc_nulls_last("doc_id"), "text_key"))
+    alone = [F.when(F.col("component").isNull(), F.col(c)) for c in ("doc_id", "text_key")]
+    first = F.row_number().over(Window.partitionBy("component", *alone).orderBy(F.asc_nulls_last("doc_id"), "text_key"))
     chosen = found.withColumn("n", first).where("n = 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_key"))
@@ -309,7 +310,11 @@ def one_per_group(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", te
 
 
 def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
-    """doc_id, text_key, n_shingles and component_id of every document; see near_duplicates."""
+    """doc_id, text_key, n_shingles, component_id and component of every document; see near_duplicates.
+
+    ``component`` is a number of the component itself, null for a document without a word. Several
+    components may have one component_id: a null one, or that of an id with several texts.
+    """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(text_col).cast("string").alias("text"))
     stored = written(texts.mapInArrow(_sets(width), "doc_id long, text_key long, n_shingles long, set_key binary, bands binary, signature binary"), "sets")
     # Of equal sets the document with the smallest id stands for all.
@@ -343,7 +348,7 @@ def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col
     found = written(components(links), "components")
     owner = classes.join(found.toDF("cls", "component"), "cls", "left").select("set_key", F.coalesce("component", "cls").alias("component"), F.when(F.col("rep_id") != NO_ID, F.col("rep_id")).alias("rep_id"))
     smallest = owner.groupBy("component").agg(F.min("rep_id").alias("component_id"))
-    named = owner.join(smallest, "component").select("set_key", "component_id")
+    named = owner.join(smallest, "component").select("set_key", "component", "component_id")
     result = stored.select("doc_id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key")).join(named, "set_key", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return result.select("doc_id", "text_key", "n_shingles", component.alias("component_id"))
+    component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return result.select("doc_id", "text_key", "n_shingles", component_id.alias("component_id"), "component")

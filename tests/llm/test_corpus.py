@@ -115,6 +115,16 @@ def test_width_and_percent_are_parameters(spark):
     assert {r.doc_id for r in minhash.one_per_group(docs, percent=80, width=5).collect()} == {0, 2, 3}
 
 
+def test_unrelated_texts_without_an_id_or_with_one_id_all_stay(spark):
+    words = [[f"{c}{i}" for i in range(60)] for c in "pqrstu"]
+    first = [*words[0][:58], "x", "y"]  # near words[0]
+    rows = [(None, words[0]), (None, first), (None, words[1]), (None, words[1]), (None, words[2]), (4, words[3]), (4, words[4]), (4, words[4]), (5, words[5]), (None, words[5]), (None, []), (4, [])]
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    kept = Counter((r.doc_id, r.text[:1]) for r in minhash.one_per_group(table).collect())
+    assert kept == Counter([(None, "p"), (None, "q"), (None, "r"), (4, "s"), (4, "t"), (5, "u"), (None, ""), (4, "")])
+    assert minhash.near_duplicates(table).columns == ["doc_id", "n_shingles", "component_id", "kept"]
+
+
 def test_sketches_keep_every_similar_pair():
     rng = np.random.default_rng(4)
     for n in (3, 40, 200, 256, 257, 3_000):
