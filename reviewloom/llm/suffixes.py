@@ -3,8 +3,9 @@
 Texts are cut into segments so that equal strings of the minimum length always meet in one
 bucket: a window's anchor is the smallest hash among the k-grams in it, and a segment is a run of
 windows with one anchor. Only segments whose anchor occurs in two documents go on, each content
-once for a part of the documents. Where an anchor has one content all its windows are equal; the
-other segments form a text for each bucket, whose Burrows-Wheeler transform is expanded breadth
+once for a part of the documents. Where an anchor has one content all its windows are equal; where
+it has very many, its windows are matched one by one by their hashes, which spread over all buckets;
+the other segments form a text for each bucket, whose Burrows-Wheeler transform is expanded breadth
 first.
 """
 
@@ -14,7 +15,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import mixed
@@ -24,6 +25,8 @@ LEAST = 50
 GRAM = 20
 #: Text bytes of a part (documents that are cut up together), and buckets for each part.
 PART_BYTES, BUCKETS_PER_PART = 12 << 20, 4
+#: Contents of an anchor (each once for a part) up to which one bucket holds them; beyond, its windows are dealt one by one.
+ANCHOR_CONTENTS = 10_000
 #: Bytes that one numpy step works on.
 STEP_BYTES = 2 << 20
 #: No byte of UTF-8: divides segments.
@@ -224,31 +227,53 @@ def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (known[at] == values) if len(known) else np.zeros(len(values), bool), at
 
 
+def _windows(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the segment and first byte of each window of some segments."""
+    n = end - start - LEAST + 1
+    ends = np.cumsum(n)
+    owner = np.repeat(np.arange(len(n)), n)
+    return owner, start[owner] + np.arange(len(owner)) - (ends - n)[owner]
+
+
+def _cut_up(data: np.ndarray, found: tuple, hot: np.ndarray):
+    """The segments (see ``segments``), those marked hot as one segment for each of their windows."""
+    text, start, end, anchor, key = found
+    owner, place = _windows(start[hot], end[hot])
+    one = np.flatnonzero(hot)[owner]
+    keys = Hasher(data).spans(place, place + LEAST).view(np.int64) if len(place) else place
+    cold = ~hot
+    columns = ((text[cold], text[one]), (start[cold], place), (end[cold], place + LEAST), (anchor[cold], anchor[one]), (key[cold], keys))
+    return (*(np.concatenate(c) for c in columns), np.concatenate([np.zeros(int(cold.sum()), bool), np.ones(len(one), bool)]))
+
+
 def _candidates(buckets: int):
     def cut_out(table: pa.Table, repeated: pa.Table) -> pa.Table:
         """Distinct segments of a part that have a repeated anchor, each with its smallest document.
 
-        The bytes go along only where the anchor has different contents.
+        The bytes go along only where the anchor has different contents. Where it has too many for
+        a bucket (``kind`` 2), each window is a segment of its own, in a bucket of its own hash.
         """
         known, first = np.unique(np.asarray(repeated.column("anchor")).astype(np.int64), return_index=True)
-        varied = np.asarray(repeated.column("varied")).astype(bool)[first]
-        kept: list[list] = [[], [], [], [], []]
+        kind = np.asarray(repeated.column("kind"))[first]
+        kept: list[list] = [[], [], [], [], [], []]
         for ids, data, offsets in _texts(table):
-            text, start, end, anchor, key = segments(data, offsets)
-            hit, place = _among(anchor & ANCHOR_BITS, known)
+            found = segments(data, offsets)
+            hit, place = _among(found[3] & ANCHOR_BITS, known)
             at = np.flatnonzero(hit)
             if not len(at):
                 continue
+            text, start, end, anchor, key, window = _cut_up(data, tuple(x[at] for x in found), kind[place[at]] == 2)
+            varied = kind[_among(anchor & ANCHOR_BITS, known)[1]] == 1
+            at = np.arange(len(key))
             order = at[np.argsort(key[at])]
             group = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
             low, high = np.minimum.reduceat(ids[text[order]], group), np.maximum.reduceat(ids[text[order]], group)
             at = order[group]
-            with_bytes = varied[place[at]]
-            size = np.where(with_bytes, end[at] - start[at], 0)
+            size = np.where(varied[at], end[at] - start[at], 0)
             ends = np.cumsum(size)
             flat = data[np.repeat(start[at] - (ends - size), size) + np.arange(int(ends[-1]))]
             bytes_ = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(flat)])
-            for values, new in zip(kept, (anchor[at] & ANCHOR_BITS, key[at], low, high, bytes_), strict=True):
+            for values, new in zip(kept, (anchor[at] & ANCHOR_BITS, key[at], low, high, bytes_, window[at]), strict=True):
                 values.append(new)
         if not kept[0]:
             return pa.table([pa.array([], t) for t in SEGMENTS.types], schema=SEGMENTS)
@@ -257,9 +282,10 @@ def _candidates(buckets: int):
         group = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
         low, high, at = np.minimum.reduceat(low[order], group), np.maximum.reduceat(high[order], group), order[group]
         content = pa.chunked_array(kept[4]).take(pa.array(at))
-        bucket = (mixed(anchor[at].view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        window = np.concatenate(kept[5])[at]
+        bucket = (mixed(np.where(window, key[at], anchor[at]).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
         part = np.full(len(at), table.column("part")[0].as_py(), np.int32)
-        return pa.table([pa.array(bucket), pa.array(part), pa.array(key[at]), pa.array(low), pa.array(low < high), content], schema=SEGMENTS)
+        return pa.table([pa.array(bucket), pa.array(part), pa.array(key[at]), pa.array(low), pa.array(low < high), content, pa.array(anchor[at], mask=~window)], schema=SEGMENTS)
 
     return cut_out
 
@@ -288,19 +314,22 @@ def _matched(table: pa.Table) -> pa.Table:
     at[order] = np.repeat(np.arange(len(group)), np.diff(np.append(group, len(key))))
     wanted = np.flatnonzero(np.asarray(table.column("many")) | (lowest[at] < doc))
     lists = pa.array(values, pa.list_(pa.int64())).take(pa.array(at[wanted]))
-    return pa.table([table.column("part").take(pa.array(wanted)), table.column("key").take(pa.array(wanted)), lists], schema=ANSWERS)
+    return pa.table([table.column("part").take(pa.array(wanted)), table.column("key").take(pa.array(wanted)), lists, table.column("anchor").take(pa.array(wanted))], schema=ANSWERS)
 
 
 def _removed(with_text: bool, keep: tuple[str, ...]):
     def mark(table: pa.Table, answers: pa.Table) -> pa.Table:
         known = np.asarray(answers.column("key")).astype(np.int64)
+        divided = np.unique(np.asarray(answers.column("anchor").drop_null()).astype(np.int64))  # anchors whose windows are answered one by one
         order = np.argsort(known, kind="stable")
         known = known[order]
         lists = answers.column("smallest").combine_chunks().take(pa.array(order))
         values, bounds = np.asarray(lists.flatten()).astype(np.int64), np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()).astype(np.int64))])
         rows: dict[str, list] = {n: [] for n in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text")}
         for ids, data, offsets in _texts(table):
-            text, start, end, _, key = segments(data, offsets)
+            found = segments(data, offsets)
+            hot, _ = _among(found[3] & ANCHOR_BITS, divided)
+            text, start, end, _, key = _cut_up(data, found, hot)[:5] if hot.any() else found
             cover = np.zeros(len(data) + 1, np.int32)
             if len(start):
                 hit, at = _among(key, known)
@@ -356,8 +385,8 @@ def _whole_characters(text: bytes, spans: list[dict]) -> str:
     return b"".join([*kept, text[at:]]).decode("utf-8", "replace")
 
 
-SEGMENTS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("many", pa.bool_()), ("content", pa.binary())])
-ANSWERS = pa.schema([("part", pa.int32()), ("key", pa.int64()), ("smallest", pa.list_(pa.int64()))])
+SEGMENTS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("many", pa.bool_()), ("content", pa.binary()), ("anchor", pa.int64())])
+ANSWERS = pa.schema([("part", pa.int32()), ("key", pa.int64()), ("smallest", pa.list_(pa.int64())), ("anchor", pa.int64())])
 SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
     ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept_text", pa.string()),
@@ -365,6 +394,11 @@ SCHEMA = pa.schema([
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>, kept_text string"
 
 
+def part_of(parts: int) -> Column:
+    """The part of a document, by its id and its text, so that one id doesn't make one part."""
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
     """The documents with their repeated passages removed, with the columns of ``docs``.
 
@@ -387,24 +421,27 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, id_col: str = "doc_
     as the smallest and as equal to each other; documents with one id, and so repeated rows,
     take nothing from each other. An empty table gives no rows.
 
-    Documents are dealt to parts by their id, so that copies spread; parts are dealt once and
-    read three times: for anchors, for segments, for the removal. A passage of any number of
-    documents is one row per part from the first step on.
+    Documents are dealt to parts by their id and text, so that copies spread, and texts of one id
+    too; parts are dealt once and read three times: for anchors, for segments, for the removal. A
+    passage of any number of documents is one row per part from the first step on. An anchor with
+    more than ``ANCHOR_CONTENTS`` contents (a phrase with ever different surroundings) fills no
+    bucket: its windows meet by their own hashes.
     """
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"keep_{c}") for c in keep])
     carried = plain.columns[2:]
     size = plain.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     parts = max(1, -(-size // PART_BYTES))
-    dealt = plain.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")).select("part", "doc_id", "text", *carried).repartition("part")
+    dealt = plain.withColumn("part", part_of(parts)).select("part", "doc_id", "text", *carried).repartition("part")
     by_part = dealt.groupBy("part")
     anchors = by_part.applyInArrow(_anchors, "anchor long, content long, part int")
     same = Window.partitionBy("anchor")
     repeated = (
         anchors.withColumn("n", F.count("*").over(same))
         .withColumn("varied", F.min("content").over(same) != F.max("content").over(same))
-        .where("n > 1").select("part", "anchor", "varied")
+        .withColumn("kind", F.when(~F.col("varied"), 0).when(F.col("n") <= ANCHOR_CONTENTS, 1).otherwise(2))
+        .where("n > 1").select("part", "anchor", "kind")
     )
-    segments_ = by_part.cogroup(repeated.groupBy("part")).applyInArrow(_candidates(parts * BUCKETS_PER_PART), "bucket int, part int, key long, doc long, many boolean, content binary")
-    answers = segments_.groupBy("bucket").applyInArrow(_matched, "part int, key long, smallest array<long>")
+    segments_ = by_part.cogroup(repeated.groupBy("part")).applyInArrow(_candidates(parts * BUCKETS_PER_PART), "bucket int, part int, key long, doc long, many boolean, content binary, anchor long")
+    answers = segments_.groupBy("bucket").applyInArrow(_matched, "part int, key long, smallest array<long>, anchor long")
     found = by_part.cogroup(answers.groupBy("part")).applyInArrow(_removed(with_text, tuple(carried)), RESULT + "".join(f", {c} {dict(plain.dtypes)[c]}" for c in carried))
     return found if with_text else found.drop("kept_text")

@@ -170,6 +170,34 @@ def test_repeated_passages_match_all_windows(docs, texts, odd, empty):
     assert "�" not in "".join(r.text for r in kept.collect())
 
 
+def test_an_anchor_with_many_contents_fills_no_bucket(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    phrase = "the same phrase of thirty bytes"
+    rows = [(i, f"{sentence(rng, 12)} {phrase} {sentence(rng, 12)}") for i in range(300)]
+    rows += [(300 + i, rows[i][1][20:-9]) for i in range(20)]
+    monkeypatch.setattr(suffixes, "ANCHOR_CONTENTS", 20)
+    monkeypatch.setattr(suffixes, "PART_BYTES", 8 << 10)
+    found = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == repeats(rows)
+    part = pa.table({"part": pa.array([0] * 300, pa.int32()), "doc_id": pa.array(range(300)), "text": [t for _, t in rows[:300]]})
+    anchors = np.asarray(suffixes._anchors(part)["anchor"])
+    names, counts = np.unique(anchors, return_counts=True)
+    kinds = np.where(counts > 20, 2, 1)
+    made = suffixes._candidates(1024)(part, pa.table({"anchor": names, "kind": kinds})).to_pandas()
+    own = made[made["content"].str.len() > 0].groupby("bucket").size()
+    windows = made[made["anchor"].notna()]
+    assert counts.max() > 40 and windows["bucket"].nunique() > 20 and own.max() <= 20
+    assert made["content"].str.len().gt(0).sum() + len(windows) == len(made)
+
+
+def test_texts_of_one_id_are_dealt_to_all_parts(spark):
+    texts = spark.range(2_000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    counts = [r["count"] for r in texts.select(suffixes.part_of(4).alias("part")).groupBy("part").count().collect()]
+    assert len(counts) == 4 and max(counts) < 700
+
+
 def test_shared_windows_of_near_equal_contents():
     rng = random.Random(3)
     contents = list({bytes(rng.choice(b"ab") for _ in range(rng.randint(5, 40))) for _ in range(60)})
