@@ -752,7 +752,7 @@ def document_topics(spark, folder):
     return topics.fit_topics(_documents(spark, folder), topics.TopicSettings(terms=TERMS)).document_topics
 
 
-CLUSTERS = clusters.ClusterSettings(k_candidates=(2, 3, 4, 5), restarts=3, terms=TERMS)
+CLUSTERS = clusters.ClusterSettings(terms=TERMS)
 
 
 @query
