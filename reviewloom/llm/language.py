@@ -17,6 +17,8 @@ TRAIN_DOCS = 3_000
 BUCKETS = 1 << 16
 #: What a change of language between two words costs, in nats.
 SWITCH = 12.0
+#: Nats by which a word's language must lead all others for the word to count as recognised.
+CLEAR = 2.0
 UNKNOWN = "und"
 # First code points of Unicode script blocks; what lies between has the number before it.
 SCRIPTS = (
@@ -177,11 +179,11 @@ def viterbi(scores: np.ndarray, doc_start: np.ndarray, doc_words: np.ndarray, sw
     return labels
 
 
-def label_texts(texts: list[str], model: Model, letters: np.ndarray, switch: float = SWITCH):
-    """Words of the texts and the language number of each."""
+def word_scores(texts: list[str], model: Model, letters: np.ndarray) -> tuple[Words, np.ndarray]:
+    """Words of the texts and the scores of all languages for each."""
     words, parts = words_of(texts, letters), []
     if not len(words.start) or not model.langs:
-        return words, np.zeros(len(words.start), np.int16)
+        return words, np.zeros((len(words.start), len(model.langs)), np.float32)
     # n-grams in blocks of words, so that the looked-up rows stay small.
     buckets = gram_buckets(words.codes)
     for block in range(0, len(words.start), 40_000):
@@ -191,8 +193,20 @@ def label_texts(texts: list[str], model: Model, letters: np.ndarray, switch: flo
         parts.append(np.add.reduceat(total, first, axis=0))
     scores = np.concatenate(parts) / len(buckets)
     scores[~model.allowed[script_of(words.codes[words.start])]] -= 50.0
-    per_doc = np.bincount(words.doc, minlength=len(texts))
-    return words, viterbi(scores, np.concatenate([[0], np.cumsum(per_doc)[:-1]]), per_doc, switch)
+    return words, scores
+
+
+def _best_labels(n_texts: int, words: Words, scores: np.ndarray, switch: float) -> np.ndarray:
+    if not scores.size:
+        return np.zeros(len(words.start), np.int16)
+    per_doc = np.bincount(words.doc, minlength=n_texts)
+    return viterbi(scores, np.concatenate([[0], np.cumsum(per_doc)[:-1]]), per_doc, switch)
+
+
+def label_texts(texts: list[str], model: Model, letters: np.ndarray, switch: float = SWITCH):
+    """Words of the texts and the language number of each."""
+    words, scores = word_scores(texts, model, letters)
+    return words, _best_labels(len(texts), words, scores, switch)
 
 
 def spans_of(words: Words, labels: np.ndarray, n_docs: int):
@@ -215,6 +229,21 @@ def _predicted(texts: list[str | None], model: Model, letters: np.ndarray, switc
     return words, labels, share.argmax(1), unknown, np.where(unknown, 0.0, share.max(1) / np.maximum(total, 1))
 
 
+def _recognised(texts: list[str | None], model: Model, letters: np.ndarray, switch: float) -> np.ndarray:
+    """Share of each text's letters in words whose label leads clearly; NaN for a text without letters."""
+    texts = [t or "" for t in texts]
+    words, scores = word_scores(texts, model, letters)
+    clear, own = np.ones(len(words.start), bool), np.arange(len(words.start))
+    if len(model.langs) > 1 and len(own):
+        labels = _best_labels(len(texts), words, scores, switch)
+        mine = scores[own, labels]
+        scores[own, labels] = -np.inf
+        clear = mine - scores.max(1) >= CLEAR
+    total = np.bincount(words.doc, weights=words.length, minlength=len(texts))
+    sure = np.bincount(words.doc, weights=words.length * clear, minlength=len(texts))
+    return np.where(total > 0, sure / np.maximum(total, 1), np.nan)
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", switch: float = SWITCH) -> DataFrame:
     """Language and language spans of every document, from its text alone.
 
@@ -251,14 +280,20 @@ def train_part(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.4, text_col: str = "text", switch: float = SWITCH) -> DataFrame:
-    """Documents with a predicted language that holds at least ``least_score`` of their letters, with all columns."""
+    """Documents with recognised languages, however many, in at least ``least_score`` of their letters, with all columns.
+
+    A word is recognised if its label leads all other languages by ``CLEAR`` nats; the words of all
+    spans count. If nothing or only one language could be learned there is nothing to compare
+    with, and every document with a letter stays. Labels that are one language under two names
+    don't lead each other, so their words aren't recognised.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, letters = shared.value, letter_table()
         for batch in batches:
             for part in text_slices(batch, text_col, 16 << 20):
-                *_, unknown, score = _predicted(part.column(text_col).to_pylist(), model, letters, switch)
-                yield part.filter(pa.array(~unknown & (score >= least_score)))
+                share = _recognised(part.column(text_col).to_pylist(), model, letters, switch)
+                yield part.filter(pa.array(share >= least_score))
 
     return docs.mapInArrow(keep, docs.schema)

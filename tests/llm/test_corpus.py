@@ -295,6 +295,17 @@ def test_languages_are_told_apart_and_spans_switch(spark, odd, empty):
     assert language.keep_identified(odd, language.train(odd)).columns == odd.columns
 
 
+def test_texts_of_many_languages_stay_and_noise_goes(spark, empty):
+    rng = random.Random(2)
+    words = {"en": "the and with house water".split(), "fr": "être avec maison où leurs".split(), "de": "und nicht straße wasser über".split(), "es": "señor pero muchos donde años".split()}
+    docs = spark.createDataFrame([(i, sentence(rng, 20, w), lang) for i, (lang, w) in enumerate([*words.items()] * 20)], "doc_id long, text string, lang string")
+    mixed = " ".join(" ".join(rng.choice(w) for _ in range(30)) for w in words.values())
+    noise = " ".join("".join(rng.choice("bcdfgjkmpqvxyz") for _ in range(6)) for _ in range(40))
+    tested = spark.createDataFrame([(1, "the house and the water with the house"), (2, mixed), (3, noise), (4, "12 !?"), (5, None), (6, "")], "doc_id long, text string")
+    assert {r.doc_id for r in language.keep_identified(tested, language.train(docs)).collect()} == {1, 2}
+    assert {r.doc_id for r in language.keep_identified(tested, language.train(empty)).collect()} == {1, 2, 3}
+
+
 def test_neighbours_reach_recall_and_skip_bad_vectors(spark, empty):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(1_500, 24))
