@@ -84,8 +84,8 @@ def _hashed(probes: int, tables: int, functions: int):
                     code = cells(x, table, functions, probes)
                     rows = pa.array(np.repeat(np.arange(len(x)), code.shape[1]))
                     n = len(rows)
-                    arrays = [pa.array([width] * n, pa.int32()), pa.array([table] * n, pa.int32()), pa.array(code.ravel()), part.column("class_id").take(rows), part.column("embedding").take(rows)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["width", "table_no", "cell", "class_id", "embedding"])
+                    arrays = [pa.array([width] * n, pa.int32()), pa.array([table] * n, pa.int32()), pa.array(code.ravel()), *[part.column(c).take(rows) for c in ("class_id", "first_id", "embedding")]]
+                    yield pa.RecordBatch.from_arrays(arrays, ["width", "table_no", "cell", "class_id", "first_id", "embedding"])
 
     return spread
 
@@ -100,16 +100,18 @@ def _compare(k: int):
         found = []
         if index.num_rows and queries.num_rows:
             v, q = _matrix(index.column("embedding")), _matrix(queries.column("embedding"))
-            ids = np.asarray(index.column("class_id"))
+            ids, firsts = np.asarray(index.column("class_id")), np.asarray(index.column("first_id"))
             near = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T
-            most = min(k + 8, len(v))
+            most = min(k, len(v))
+            rounding = 8 * (v.shape[1] + 8) * np.finfo(np.float64).eps  # far above what both ways to add up can differ by
             for row, query in enumerate(np.asarray(queries.column("class_id"))):
-                at = np.argpartition(-near[row], most - 1)[:most] if most < len(v) else np.arange(len(v))
+                at = np.flatnonzero(near[row] >= np.partition(near[row], len(v) - most)[len(v) - most] - rounding)
                 score = cosines(np.repeat(q[row : row + 1], len(at), 0), v[at])
-                top = np.lexsort((ids[at], -score))[:k]
-                found.append((np.full(len(top), query), ids[at][top], score[top]))
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table({"query_class": pa.array(columns[0], pa.int64()), "class_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
+                top = np.lexsort((ids[at], firsts[at], -score))[:k]
+                found.append((np.full(len(top), query), ids[at][top], firsts[at][top], score[top]))
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+        kinds = {"query_class": pa.int64(), "class_id": pa.int64(), "first_id": pa.int64(), "score": pa.float64()}
+        return pa.table({name: pa.array(c, kind) for (name, kind), c in zip(kinds.items(), columns, strict=True)})
 
     return best
 
@@ -122,10 +124,10 @@ def _met(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
     blocks = n_index.join(n_probes, cell)
     own = lambda parts: F.pmod(F.xxhash64("class_id"), F.col(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    left = index.join(blocks, cell).select(*cell, "class_id", "embedding", own("index_blocks").alias("i"), every("query_blocks").alias("j"))
+    left = index.join(blocks, cell).select(*cell, "class_id", "first_id", "embedding", own("index_blocks").alias("i"), every("query_blocks").alias("j"))
     right = probes.join(blocks, cell).select(*cell, "class_id", "embedding", own("query_blocks").alias("j"), every("index_blocks").alias("i"))
     keys = [*cell, "i", "j"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compare(k), "query_class long, class_id long, score double")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compare(k), "query_class long, class_id long, first_id long, score double")
 
 
 def usable(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -156,7 +158,8 @@ def search(
 
     Returns query_id, rank (from 1), vec_id and score, nearest first, ties to the smaller id; a
     query isn't its own neighbour. ``queries`` is a condition on vec_id. Equal vectors are hashed
-    once (of each, the k + 1 smallest ids are kept, which is all that a result can hold).
+    once (of each, the k + 1 smallest ids are kept, which is all that a result can hold); different
+    vectors that tie at the cut (parallel ones, or signs) are cut by their smallest ids too.
     Vectors that are null, zero or have a null or non-finite component take no part; only
     vectors of equal length meet. A query for which less than k rows were met is compared with
     all vectors, in blocks, so small tables give all candidates. An empty table gives no rows.
@@ -168,17 +171,17 @@ def search(
         .groupBy("embedding").agg(F.min("vec_id").alias("first_id"), F.sort_array(F.collect_list("vec_id")).alias("members"))
         .withColumn("class_id", F.monotonically_increasing_id())
     )
-    asked = cut(rows.where(queries).withColumnRenamed("vec_id", "query_id").join(classes.select("embedding", "class_id"), "embedding"))
-    vectors_of = classes.select("class_id", "embedding")
-    wanted = asked.select("class_id", "embedding").dropDuplicates(["class_id"])
-    kind = f"width int, table_no int, cell long, class_id long, embedding {dict(classes.dtypes)['embedding']}"
+    asked = cut(rows.where(queries).withColumnRenamed("vec_id", "query_id").join(classes.select("embedding", "class_id", "first_id"), "embedding"))
+    vectors_of = classes.select("class_id", "first_id", "embedding")
+    wanted = asked.select("class_id", "first_id", "embedding").dropDuplicates(["class_id"])
+    kind = f"width int, table_no int, cell long, class_id long, first_id long, embedding {dict(classes.dtypes)['embedding']}"
     met = _met(vectors_of.mapInArrow(_hashed(1, tables, functions), kind), wanted.mapInArrow(_hashed(probes, tables, functions), kind), k + 1)
     first = cut(_top(met, k + 1))
     sizes = first.join(classes.select("class_id", F.size("members").alias("size")), "class_id")
     enough = sizes.groupBy("query_class").agg(F.sum("size").alias("n")).where(F.col("n") > k)
     short = cut(wanted.join(enough, F.col("class_id") == F.col("query_class"), "left_anti"))
-    first_names = ["width", "table_no", "cell", "class_id", "embedding"]
-    everywhere = lambda df: df.select(F.size("embedding").alias("width"), F.lit(-1).alias("table_no"), F.lit(0).cast("long").alias("cell"), "class_id", "embedding").toDF(*first_names)
+    first_names = ["width", "table_no", "cell", "class_id", "first_id", "embedding"]
+    everywhere = lambda df: df.select(F.size("embedding").alias("width"), F.lit(-1).alias("table_no"), F.lit(0).cast("long").alias("cell"), "class_id", "first_id", "embedding").toDF(*first_names)
     if not short.isEmpty():
         more = _top(_met(everywhere(vectors_of), everywhere(short), k + 1), k + 1)
         first = first.join(short, F.col("query_class") == short["class_id"], "left_anti").unionByName(more)
@@ -190,5 +193,5 @@ def search(
 
 
 def _top(met: DataFrame, k: int) -> DataFrame:
-    order = F.row_number().over(Window.partitionBy("query_class").orderBy(F.desc("score"), "class_id"))
+    order = F.row_number().over(Window.partitionBy("query_class").orderBy(F.desc("score"), "first_id", "class_id"))
     return met.dropDuplicates(["query_class", "class_id"]).withColumn("n", order).where(F.col("n") <= k).drop("n")

@@ -331,6 +331,19 @@ def test_neighbours_reach_recall_and_skip_bad_vectors(spark, empty):
     assert len(few) == 6
 
 
+def test_neighbours_that_tie_are_the_smallest_ids(spark):
+    rng = np.random.default_rng(6)
+    base = rng.integers(-3, 4, 16).astype(float)
+    base[0] = 1.0
+    ids = rng.permutation(60).tolist()  # ids don't follow the order of the rows
+    rows = [(i, [float(x) for x in base * 2.0**n]) for n, i in enumerate(ids)]
+    rows += [(100 + i, [float(x) for x in rng.normal(size=16)]) for i in range(40)]
+    for parts in (1, 5):
+        found = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(parts), F.col("vec_id").isin(0, 3, 50)).collect()
+        by = {q: [r.vec_id for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] for q in (0, 3, 50)}
+        assert by == {0: [1, 2, 3, 4, 5], 3: [0, 1, 2, 4, 5], 50: [0, 1, 2, 3, 4]}
+
+
 def test_targets_stop_at_twice_a_size():
     sizes = [100, 100, 100, 10]
     targets = mixing.source_targets(sizes)
