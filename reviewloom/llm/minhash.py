@@ -200,8 +200,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int = SHI
 def _texts_of(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """cls and text of the classes that share a bucket, written once for all comparisons."""
     wanted = members.select("cls").distinct().join(classes.select("cls", F.col("rep_id").alias("doc_id"), F.col("rep_key").alias("text_key")), "cls")
-    # Repeated rows give a class its text twice, which repeats a comparison but changes nothing.
-    return written(wanted.join(texts, ["doc_id", "text_key"]).select("cls", "text"), "texts")
+    # Repeated rows would give a class its text as often, and a pair of classes the product of both.
+    once = texts.groupBy("doc_id", "text_key").agg(F.first("text").alias("text"))
+    return written(wanted.join(once, ["doc_id", "text_key"]).select("cls", "text"), "texts")
 
 
 def _close_pairs(step: str, share: float):

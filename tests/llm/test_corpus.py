@@ -125,6 +125,14 @@ def test_unrelated_texts_without_an_id_or_with_one_id_all_stay(spark):
     assert minhash.near_duplicates(table).columns == ["doc_id", "n_shingles", "component_id", "kept"]
 
 
+def test_repeated_rows_give_a_class_one_text(spark):
+    members = spark.createDataFrame([(0, 10), (1, 10), (0, 11), (1, 11)], "cls long, band long")
+    classes = spark.createDataFrame([(0, 7, 70), (1, minhash.NO_ID, 80), (2, 9, 90)], "cls long, rep_id long, rep_key long")
+    rows = [(7, 70, "a b c")] * 20 + [(minhash.NO_ID, 80, "a b d")] * 30 + [(7, 71, "other"), (9, 90, "alone")]
+    texts = minhash._texts_of(members, classes, spark.createDataFrame(rows, "doc_id long, text_key long, text string").repartition(3))
+    assert sorted(map(tuple, texts.collect())) == [(0, "a b c"), (1, "a b d")]
+
+
 def test_sketches_keep_every_similar_pair():
     rng = np.random.default_rng(4)
     for n in (3, 40, 200, 256, 257, 3_000):
