@@ -15,6 +15,8 @@ from reviewloom.llm.common import remainder, text_slices, uniform
 #: Labelled documents per language that the scores are learned from, in expectation.
 TRAIN_DOCS = 3_000
 BUCKETS = 1 << 16
+#: Text bytes that are labelled together; a longer text is a slice of its own and takes about 40 bytes of memory a byte.
+SLICE_TEXT = 2 << 20
 #: What a change of language between two words costs, in nats.
 SWITCH = 12.0
 #: Nats by which a word's language must lead all others for the word to count as recognised.
@@ -108,16 +110,21 @@ def gram_counts(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_DOCS) -> Model:
-    """Learn from labelled documents, of each language about ``per_language`` chosen by hash of the id."""
+    """Learn from labelled documents, of each language about ``per_language`` chosen by hash of id and text.
+
+    Rows without a text or language teach nothing. The draw depends on values alone, so equal rows
+    are all drawn or none. A language none of whose rows is drawn isn't learned; if no language
+    is, the model is empty. Null ids and repeated ids are like others.
+    """
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
     counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(counts)
-    if not langs:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.ones((len(SCRIPT_NAMES), 0), bool))
-    rate = F.element_at(F.create_map(*[F.lit(x) for k in langs for x in (k, per_language / counts[k])]), F.col("lang"))
-    drawn = labelled.where(uniform("doc_id", F.lit("language")) < rate)
+    empty = Model([], np.zeros((BUCKETS, 0), np.float32), np.ones((len(SCRIPT_NAMES), 0), bool))
+    if not counts:
+        return empty
+    rate = F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, per_language / n)]), F.col("lang"))
+    drawn = labelled.where(uniform("doc_id", "text", F.lit("language")) < rate)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, kept = letter_table(), {}
@@ -134,6 +141,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     # At most (buckets + scripts) rows per language come to the driver.
     found = drawn.mapInArrow(partial, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
+    langs = sorted(set(found["lang"]))
+    if not langs:
+        return empty
     table = np.zeros((BUCKETS + len(SCRIPT_NAMES), len(langs)))
     table[found["slot"].to_numpy(), [langs.index(x) for x in found["lang"]]] = found["n"].to_numpy()
     grams, scripts = table[:BUCKETS] + 0.5, table[BUCKETS:]
@@ -260,7 +270,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         model, letters = shared.value, letter_table()
         names = pa.array([*model.langs, UNKNOWN])
         for batch in batches:
-            for part in text_slices(batch, "text", 16 << 20):
+            for part in text_slices(batch, "text", SLICE_TEXT):
                 texts = part.column("text").to_pylist()
                 words, labels, best, unknown, score = _predicted(texts, model, letters, switch)
                 best[unknown] = len(model.langs)
@@ -292,7 +302,7 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.4, tex
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, letters = shared.value, letter_table()
         for batch in batches:
-            for part in text_slices(batch, text_col, 16 << 20):
+            for part in text_slices(batch, text_col, SLICE_TEXT):
                 share = _recognised(part.column(text_col).to_pylist(), model, letters, switch)
                 yield part.filter(pa.array(share >= least_score))
 

@@ -147,7 +147,7 @@ def quality(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc
     rules = default_rules() if rules is None else rules
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = narrow.select("doc_id").count()
-    drawn = cut(narrow.where(uniform("doc_id", F.lit("quality")) < sample_rows / max(rows, 1)))
+    drawn = cut(narrow.where(uniform("doc_id", "text", F.lit("quality")) < sample_rows / max(rows, 1)))
     sample = cut(base_counts(drawn).where("NOT base_failed"))
     order = [rule for rule, _, _ in ordered_rules(sample, rules)]
     counted = base_counts(narrow)

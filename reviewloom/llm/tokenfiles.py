@@ -145,7 +145,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
             yield pa.RecordBatch.from_pylist([row], pa.schema([("file_no", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())]))
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ordered = narrow.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
+    ordered = narrow.withColumn("key", F.xxhash64("text"))  # one id, or null, for many rows doesn't make one range
+    order = [F.asc_nulls_first("doc_id"), F.col("key")]
+    ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order)
     return cut(ordered.mapInArrow(write, "file_no int, path string, documents long, tokens long"))
 
 
