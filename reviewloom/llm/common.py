@@ -36,6 +36,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*stored: DataFrame) -> None:
+    """Delete the folders of frames that ``written`` gave and nothing will read again."""
+    for df in stored:
+        spark = df.sparkSession
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the checkpoint folder, which all executors share."""
     ensure_checkpoint_dir(spark)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import language, minhash, mixing, neighbours, oracles, packing, quality, sharding, suffixes, tokenfiles, toxicity
+from reviewloom.llm import (
+    codes, language, middles, minhash, mixing, neighbours, oracles, packing, quality, sharding, suffixes, tokenfiles, toxicity, windows,
+)
 from reviewloom.llm.common import remainder, table
 
 
@@ -68,6 +70,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_middles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document, and the text rebuilt from it."""
+    found = middles.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = {"output_sha256": F.col("output"), "restored_sha256": middles.restored(F.col("output"), F.col("form"))}
+    hashed = [F.sha2(value.cast("binary"), 256).alias(name) for name, value in digests.items()]
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashed)
+
+
+def op12_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one stream of ids, cut into windows of 2048."""
+    return windows.concatenate_and_cut(table(spark, sf_dir, "documents"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-byte codes of all vectors."""
+    return codes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every corpus query by name."""
     return {
@@ -81,6 +101,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_token_files": op9_token_files,
         "op10_toxicity": op10_toxicity,
+        "op11_middles": op11_middles,
+        "op12_windows": op12_windows,
+        "op13_codes": op13_codes,
     }
 
 
