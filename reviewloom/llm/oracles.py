@@ -86,6 +86,61 @@ FROM judged
 """
 
 
+OP11_MIDDLES = """
+WITH u AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+lots AS (
+    SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+    FROM u
+),
+ranks AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM lots),
+parts AS (
+    SELECT doc_id, text, n,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+        coalesce(array_to_string(u[1 : a], ''), '') AS p, coalesce(array_to_string(u[a + 1 : b], ''), '') AS m, coalesce(array_to_string(u[b + 1 :], ''), '') AS s
+    FROM ranks
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+_NEAREST = """n{turn} AS (
+    SELECT id, pos, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+    FROM (SELECT x.id, x.pos, x.part, e.entry, list_sum(list_transform(range(1, len(x.part) + 1), lambda i: (x.part[i] - e.part[i]) * (x.part[i] - e.part[i]))) AS d
+        FROM parts x JOIN c{turn} e ON x.pos = e.pos)
+    GROUP BY id, pos, part
+)"""
+_UPDATE = """m{turn} AS (SELECT pos, entry, k, sum(v) AS s, count(*) AS n FROM (SELECT pos, entry, unnest(range(1, len(part) + 1)) AS k, unnest(part) AS v FROM n{turn}) GROUP BY pos, entry, k),
+v{turn} AS (SELECT pos, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY k) AS part FROM m{turn} GROUP BY pos, entry),
+c{next} AS (SELECT c.pos, c.entry, coalesce(v.part, c.part) AS part FROM c{turn} c LEFT JOIN v{turn} v USING (pos, entry))"""
+OP13_CODES = (
+    """
+WITH kept AS (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS (SELECT id, pos, v[pos * len(v) // 4 + 1 : (pos + 1) * len(v) // 4] AS part FROM (SELECT id, v, unnest(range(4)) AS pos FROM kept)),
+c0 AS (SELECT pos, id - 1 AS entry, part FROM parts WHERE id <= 256),
+"""
+    + ",\n".join(f"{_NEAREST.format(turn=t)},\n{_UPDATE.format(turn=t, next=t + 1)}" for t in range(4))
+    + f",\n{_NEAREST.format(turn=4)},\n"
+    + """coded AS (SELECT id, lower(string_agg(printf('%02x', entry), '' ORDER BY pos)) AS code, CAST(sum(d) AS BIGINT) AS error FROM n4 GROUP BY id),
+books AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY pos, entry, k)) AS codebooks_sha256 FROM (SELECT pos, entry, unnest(range(1, len(part) + 1)) AS k, unnest(part) AS x FROM c4))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (id) CROSS JOIN books
+"""
+)
+
+
 def all_oracles() -> dict[str, str]:
     """SQL by the name of its query."""
-    return {"op2_minhash": OP2_MINHASH, "op3_suffixes": OP3_SUFFIXES, "op5_quality": OP5_QUALITY}
+    return {
+        "op2_minhash": OP2_MINHASH,
+        "op3_suffixes": OP3_SUFFIXES,
+        "op5_quality": OP5_QUALITY,
+        "op11_middles": OP11_MIDDLES,
+        "op13_codes": OP13_CODES,
+    }
