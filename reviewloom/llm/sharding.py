@@ -58,7 +58,9 @@ def _quantiles(sample: pd.DataFrame, parts: int) -> list[tuple[int, int, int]]:
         return []
     reach = sample["weight"].cumsum().to_numpy()
     places = np.searchsorted(reach, reach[-1] * np.arange(1, parts) / parts)
-    return [tuple(map(int, sample.loc[i, list(KEY)])) for i in np.unique(places)]
+    # Each column by itself: a row of the frame would turn the 64-bit keys into floats.
+    columns = [sample[c].to_numpy(np.int64) for c in KEY]
+    return [tuple(int(c[i]) for c in columns) for i in np.unique(places)]
 
 
 def locate(bounds: np.ndarray, group_key: np.ndarray, doc_id: np.ndarray, row_no: np.ndarray) -> np.ndarray:

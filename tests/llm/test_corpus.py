@@ -69,6 +69,15 @@ def test_one_repeated_row_is_spread_over_shards(spark):
     assert len(counts) == 8 and max(r["count"] for r in counts) - min(r["count"] for r in counts) <= 2
 
 
+def test_overfull_ranges_are_subdivided(spark):
+    text = F.when(F.col("id") % 4 == 0, "copy").otherwise(F.concat(F.lit("text "), F.col("id")))
+    rows = sharding.keyed_rows(spark.range(12_000).select(F.lit(None).cast("long").alias("doc_id"), text.alias("text")).repartition(6))
+    whole = rows.agg(F.sum("size").alias("b")).first().b
+    bounds, filled = sharding.splitters(rows, 12_000, whole, 64)
+    assert sum(n for n, _ in filled) == 12_000 and len(filled) == len(bounds) + 1
+    assert max(n for n, _ in filled) <= 3 * 12_000 / 64
+
+
 def test_written_shards_hold_every_document(docs, tmp_path, spark):
     sharding.write_shards(docs.drop("shard"), sharding.assign_shards(docs, 3), str(tmp_path / "shards"))
     found = spark.read.parquet(str(tmp_path / "shards"))
