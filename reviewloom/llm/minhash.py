@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import mixed, raw_text, text_slices, written
+from reviewloom.llm.common import by_place, id_and_text, mixed, raw_text, text_slices, written
 from reviewloom.llm.components import components
 
 #: Permutations of the estimate; each gives a minimum and a maximum. The first of them give the
@@ -18,8 +18,8 @@ PERMUTATIONS, BANDS, ROWS = 384, 32, 6
 #: Members of a bucket that are compared in one go.
 BLOCK = 2048
 #: Standard errors that an estimate may lie under the least similarity before a pair is passed over
-#: (a pair above it is missed with a chance below 5e-5).
-ERRORS = 4.25
+#: (a pair above it is missed with a chance below 2e-7, less than bands miss).
+ERRORS = 5.2
 #: Smallest shingle hashes (of 24 bits) that the finer estimate has of each set; a set of no more
 #: shingles is compared as a whole. The slack covers chance agreement of hashes.
 SKETCH, SLACK = 256, 0.01
@@ -31,21 +31,36 @@ _B = _RNG.integers(0, 1 << 32, PERMUTATIONS, np.uint64).astype(np.uint32)
 _WEIGHTS = _RNG.integers(0, 1 << 63, (BANDS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = _RNG.integers(0, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x5851F42D4C957F2D)
-_LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
-_LOWER[65:91] += np.uint64(32)
+#: Words are hashed as polynomials modulo two primes (a power of two would let self-similar words collide).
+PRIMES, BASES = (2_147_483_647, 2_147_483_629), (1_277_093_419, 904_318_277)
+_LOWER = np.arange(256, dtype=np.int64) + 1
+_LOWER[65:91] += 32
+#: Longest text whose powers are kept for the next one.
+_KEPT_POWERS = 1 << 22
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
-_POWERS: dict[str, np.ndarray] = {}
+_POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2^64."""
-    if len(_POWERS.get("up", ())) < n:
-        size = 1 << int(n - 1).bit_length()
-        for name, base in (("up", int(_BASE)), ("down", pow(int(_BASE), -1, 1 << 64))):
-            values = np.full(size, base, np.uint64)
-            values[0] = 1
-            _POWERS[name] = np.multiply.accumulate(values)
-    return _POWERS["up"], _POWERS["down"]
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of a base modulo a prime below 2^31."""
+    known = _POWERS.get(base, np.ones(1, np.uint32))
+    while len(known) < n:
+        step = pow(base, len(known), prime)
+        known = np.concatenate([known, (known * np.int64(step) % prime).astype(np.uint32)])
+    if len(known) <= _KEPT_POWERS:
+        _POWERS[base] = known
+    return known[:n]
+
+
+def _polynomials(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, prime: int) -> np.ndarray:
+    """The polynomial of each span of some values modulo a prime, by prefix sums."""
+    sums = np.zeros(len(values) + 1, np.int64)
+    terms = values * _powers(base, prime, len(values))
+    if len(terms) > 2 * _KEPT_POWERS:  # terms are below 2^40, so the sum of up to 2^23 fits
+        terms %= prime
+    np.cumsum(terms, out=sums[1:])
+    down = _powers(pow(base, -1, prime), prime, len(values))
+    return (sums[ends] - sums[starts]) % prime * down[starts] % prime
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,10 +73,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     first[offsets] = True
     starts = np.flatnonzero(word & (first[:-1] | np.concatenate([[True], ~word[:-1]])))
     ends = np.flatnonzero(word & (first[1:] | np.concatenate([~word[1:], [True]]))) + 1
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_LOWER[data] * up[:n], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    values, found = _LOWER[data], np.zeros((2, len(starts)), np.int64)
+    # A very long text goes in blocks of words; a word longer than a block is a block of its own.
+    edges = [0, *(np.flatnonzero(np.diff(ends // _KEPT_POWERS)) + 1).tolist(), len(starts)]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b > a:
+            low, high = int(starts[a]), int(ends[b - 1])
+            for k in range(2):
+                found[k, a:b] = _polynomials(values[low:high], starts[a:b] - low, ends[a:b] - low, BASES[k], PRIMES[k])
+    hashes = mixed(found[0].astype(np.uint64) << np.uint64(32) | found[1].astype(np.uint64)) ^ mixed((ends - starts).astype(np.uint64))
     return hashes, np.diff(np.searchsorted(starts, offsets))
 
 
@@ -296,18 +316,20 @@ def one_per_group(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", te
     """The documents without near duplicates: of each component one row with the smallest id, with all columns.
 
     Components are told apart by their links, not by ids: unrelated texts with null ids, or with
-    one id, all stay. Documents without a word stay, each id and text once.
+    one id, all stay. Documents without a word stay, each id and text once. Other columns may have
+    any name; an empty table gives no rows.
     """
+    names = docs.columns
+    docs, (id_col, text_col) = by_place(docs, id_col, text_col)
     found = grouped(docs, percent, id_col, text_col, width)
     alone = [F.when(F.col("component").isNull(), F.col(c)) for c in ("doc_id", "text_key")]
     first = F.row_number().over(Window.partitionBy("component", *alone).orderBy(F.asc_nulls_last("doc_id"), "text_key"))
     chosen = found.withColumn("n", first).where("n = 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_key"))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_key"))
     met = rows.join(chosen.withColumn("_id", F.coalesce("_id", F.lit(NO_ID))), ["_id", "_key"])
     # Repeated rows share id and text: the first stays.
     once = met.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_id"))).where("_n = 1")
-    return once.select(*[F.col("_row").getField(c).alias(c) for c in names])
+    return once.select("_row.*").toDF(*names)
 
 
 def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
@@ -316,7 +338,7 @@ def grouped(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col
     ``component`` is a number of the component itself, null for a document without a word. Several
     components may have one component_id: a null one, or that of an id with several texts.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"), F.col(text_col).cast("string").alias("text"))
+    texts = id_and_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     stored = written(texts.mapInArrow(_sets(width), "doc_id long, text_key long, n_shingles long, set_key binary, bands binary, signature binary"), "sets")
     # Of equal sets the document with the smallest id stands for all.
     first = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), F.col("doc_id").alias("id"), F.col("text_key").alias("key")))
