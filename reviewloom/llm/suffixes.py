@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from reviewloom.llm.common import mixed
+from reviewloom.llm.common import by_place, mixed
 
 LEAST = 50
 #: Bytes of a k-gram that may be an anchor.
@@ -29,12 +30,17 @@ PART_BYTES, BUCKETS_PER_PART = 12 << 20, 4
 ANCHOR_CONTENTS = 10_000
 #: Bytes that one numpy step works on.
 STEP_BYTES = 2 << 20
+#: Windows of a segment at most; a longer run with one anchor is several. Hashes are polynomials modulo 2^64,
+#: which only strings of over a thousand bytes can defeat by their form.
+SEGMENT_WINDOWS = 64
 #: No byte of UTF-8: divides segments.
 DIVIDER = 0xFF
 NO_ID = -(1 << 63)
 #: Bits of hashes that are moved to find repeated anchors and whether their contents differ. The
 #: zero bytes lie at the ends of a row, where shuffle files compress them.
 ANCHOR_BITS, CONTENT_BITS = -(1 << 16), (1 << 40) - 1
+#: Above a content's bits: whether the part has others, and how many, counted up to more than any bucket takes.
+CONTENT_SHIFT, COUNT_SHIFT, MOST_COUNTED = 40, 41, 1 << 21
 _BASE = np.uint64(0x9FB21C651E98DF25)
 _POWER: list[np.ndarray] = []
 
@@ -97,6 +103,12 @@ def segments(data: np.ndarray, offsets: np.ndarray, least: int = LEAST, gram: in
     start = np.flatnonzero(new)
     # A segment's last window is the one before the next start or before a window that lies in no text.
     stops = np.flatnonzero(inside & np.concatenate([new[1:] | ~inside[1:], [True]]))
+    if len(start) and int((stops - start).max()) >= SEGMENT_WINDOWS:
+        parts = (stops - start) // SEGMENT_WINDOWS + 1
+        run = np.repeat(np.arange(len(start)), parts)
+        step = np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
+        start, last = start[run] + step * SEGMENT_WINDOWS, stops[run]
+        stops = np.minimum(start + SEGMENT_WINDOWS - 1, last)
     end = stops + least
     text = np.searchsorted(offsets, start, "right") - 1
     return text, start, end, anchor[start].view(np.int64), hasher.spans(start, end).view(np.int64)
@@ -198,17 +210,26 @@ def _texts(table: pa.Table):
 
 
 def _anchors(table: pa.Table) -> pa.Table:
-    """Distinct (anchor, content) of a part; one that is in two of its documents comes twice."""
+    """A row for each anchor of a part: its smallest content, whether there are others, and their number.
+
+    A content that is in two documents of the part counts twice. All three share one number.
+    """
     kept: list[list[np.ndarray]] = [[], [], [], []]
     for ids, data, offsets in _texts(table):
         text, _, _, anchor, key = segments(data, offsets)
         for values, new in zip(kept, _spread(anchor, key, ids[text], ids[text]), strict=True):
             values.append(new)
     anchor, key, low, high = _spread(*[np.concatenate(v) if v else np.zeros(0, np.int64) for v in kept])
-    twice = low < high
-    anchor, key = (np.concatenate([x, x[twice]]) for x in (anchor, key))
+    anchor, key, times = anchor & ANCHOR_BITS, key & CONTENT_BITS, 1 + (low < high).astype(np.int64)
+    order = np.argsort(anchor)
+    first = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0])) if len(order) else order
+    if len(first):
+        anchor, key, times = anchor[order], key[order], times[order]
+        least, most = np.minimum.reduceat(key, first), np.maximum.reduceat(key, first)
+        count = np.minimum(np.add.reduceat(times, first), MOST_COUNTED)
+        anchor, key = anchor[first], count << COUNT_SHIFT | (least != most).astype(np.int64) << CONTENT_SHIFT | least
     part = table.column("part")[0].as_py() if table.num_rows else 0
-    return pa.table({"anchor": pa.array(anchor & ANCHOR_BITS), "content": pa.array(key & CONTENT_BITS), "part": pa.array(np.full(len(key), part), pa.int32())})
+    return pa.table({"anchor": pa.array(anchor), "packed": pa.array(key), "part": pa.array(np.full(len(key), part), pa.int32())})
 
 
 def _spread(anchor: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarray):
@@ -402,14 +423,16 @@ def part_of(parts: int) -> Column:
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
     """The documents with their repeated passages removed, with the columns of ``docs``.
 
-    ``size_col``, if there is one, gets the new number of characters.
+    ``size_col``, if there is one, gets the new number of characters. A null text becomes empty; an
+    id keeps its type; other columns, of any name, go along. Null ids, repeated rows and an empty
+    table: see ``remove_repeats``.
     """
-    others = tuple(c for c in docs.columns if c not in (id_col, text_col, size_col))
-    found, kinds = remove_repeats(docs, True, id_col, text_col, others), dict(docs.dtypes)
+    frame, (id_col, text_col, *size) = by_place(docs, id_col, text_col, *[c for c in docs.columns if c == size_col])
+    others, kinds = tuple(c for c in frame.columns if c not in (id_col, text_col, *size)), dict(frame.dtypes)
+    found = remove_repeats(frame, True, id_col, text_col, others)
     new = {id_col: F.col("doc_id").cast(kinds[id_col]), text_col: F.col("kept_text")}
-    if size_col in kinds:
-        new[size_col] = F.length("kept_text").cast(kinds[size_col])
-    return found.select(*[new.get(c, F.col(f"keep_{c}")).alias(c) for c in docs.columns])
+    new |= {c: F.length("kept_text").cast(kinds[c]) for c in size}
+    return found.select(*[new.get(c, F.col(f"keep_{c}")) for c in frame.columns]).toDF(*docs.columns)
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -433,15 +456,17 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, id_col: str = "doc_
     parts = max(1, -(-size // PART_BYTES))
     dealt = plain.withColumn("part", part_of(parts)).select("part", "doc_id", "text", *carried).repartition("part")
     by_part = dealt.groupBy("part")
-    anchors = by_part.applyInArrow(_anchors, "anchor long, content long, part int")
-    same = Window.partitionBy("anchor")
+    anchors = by_part.applyInArrow(_anchors, "anchor long, packed long, part int")
+    same = Window.partitionBy("anchor")  # a row for each part that has the anchor, whatever its contents
+    content, count = F.col("packed").bitwiseAND(CONTENT_BITS), F.shiftright("packed", COUNT_SHIFT)
+    varied = (F.max(F.shiftright("packed", CONTENT_SHIFT).bitwiseAND(1)).over(same) == 1) | (F.min(content).over(same) != F.max(content).over(same))
     repeated = (
-        anchors.withColumn("n", F.count("*").over(same))
-        .withColumn("varied", F.min("content").over(same) != F.max("content").over(same))
+        anchors.withColumn("n", F.sum(count).over(same)).withColumn("varied", varied)
         .withColumn("kind", F.when(~F.col("varied"), 0).when(F.col("n") <= ANCHOR_CONTENTS, 1).otherwise(2))
         .where("n > 1").select("part", "anchor", "kind")
     )
     segments_ = by_part.cogroup(repeated.groupBy("part")).applyInArrow(_candidates(parts * BUCKETS_PER_PART), "bucket int, part int, key long, doc long, many boolean, content binary, anchor long")
     answers = segments_.groupBy("bucket").applyInArrow(_matched, "part int, key long, smallest array<long>, anchor long")
-    found = by_part.cogroup(answers.groupBy("part")).applyInArrow(_removed(with_text, tuple(carried)), RESULT + "".join(f", {c} {dict(plain.dtypes)[c]}" for c in carried))
+    kind = StructType([*StructType.fromDDL(RESULT), *[plain.schema[c] for c in carried]])
+    found = by_part.cogroup(answers.groupBy("part")).applyInArrow(_removed(with_text, tuple(carried)), kind)
     return found if with_text else found.drop("kept_text")
