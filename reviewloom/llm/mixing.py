@@ -7,10 +7,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import SPACE, cut
+from reviewloom.llm.common import SPACE, by_place, cut
 
 #: Documents per flight; a task holds one such group.
 CHUNK = 20_000
+#: Copies of a row that are written out in one go.
+REPEAT_BLOCK = 10_000
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_COPIES = 2
@@ -117,6 +119,18 @@ def _flown(land: bool, level: int):
     return fly
 
 
+def numbered(rows: DataFrame, times: str, number: str) -> DataFrame:
+    """Each row as often as its column ``times`` says, with a number from 0 on.
+
+    A row that stands for very many goes in blocks, which are spread over all tasks.
+    """
+    block = F.expr(f"explode(sequence(0L, ({times} - 1) div {REPEAT_BLOCK}))")
+    many = rows.where(F.col(times) > REPEAT_BLOCK).withColumn("_block", block).repartition(F.xxhash64(F.struct(times, "_block")), "_block")
+    few = rows.where(F.col(times).between(1, REPEAT_BLOCK)).withColumn("_block", F.lit(0).cast("long"))
+    within = F.expr(f"explode(sequence(_block * {REPEAT_BLOCK}, least({times}, (_block + 1) * {REPEAT_BLOCK}) - 1))")
+    return few.unionByName(many).withColumn(number, within).drop("_block")
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -133,20 +147,21 @@ def mix(
     draws further ones with chance e - floor(e); the draw keeps the number of documents and of
     words (cube method). Chunks of a source fly apart from each other, what stays open flies
     together on the next level, and each source lands once. Null text: size 0. A null source
-    comes last. Repeated rows are drawn one by one. An empty table gives no rows. Draws depend
+    comes last. Repeated rows are drawn one by one. An empty table gives no rows. What comes to
+    the driver and goes to the tasks is a row for each source: tens of thousands, not hosts. Draws depend
     on ids and sizes, so reruns agree.
     """
     spark = docs.sparkSession
-    units = cut(
-        docs.select(
-            F.col(id_col).cast("long").alias("doc_id"),
-            F.col(source_col).cast("string").alias("source"),
-            word_count(F.col(text_col)).alias("size"),
-            F.xxhash64(text_col).alias("text_hash"),
-        )
-        # Equal rows are interchangeable; their numbers tell them apart in any layout of the table.
-        .withColumn("row_no", F.row_number().over(Window.partitionBy("source", "doc_id", "text_hash").orderBy("size")))
+    frame, (id_col, text_col, source_col) = by_place(docs, id_col, text_col, source_col)
+    narrow = frame.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(source_col).cast("string").alias("source"),
+        word_count(F.col(text_col)).alias("size"),
+        F.xxhash64(text_col).alias("text_hash"),
     )
+    # Equal rows are interchangeable: they are counted before they move, then numbered, in any layout of the table.
+    counted = cut(narrow.groupBy("doc_id", "source", "size", "text_hash").agg(F.count("*").alias("n")))
+    units = cut(numbered(counted, "n", "row_no").drop("n"))
     # One row per source, in code point order (byte order of UTF-8), null last.
     totals = units.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     totals.sort(key=lambda r: (r.source is None, (r.source or "").encode()))
@@ -191,18 +206,44 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, drawn: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The documents of a mix, each as often as it was drawn, with the columns of ``docs``."""
-    names = docs.columns
-    key = [F.col(id_col).cast("long").alias("_id"), F.col(source_col).cast("string").alias("_source"), F.xxhash64(text_col).alias("_hash")]
-    ours = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), *key)
-    number = F.expr("row_number() over (partition by _id, _source, _hash order by _hash)")
-    theirs = drawn.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "copies"
+    """The documents of a mix, each as often as it was drawn, with the columns of ``docs``.
+
+    Null ids, texts and sources are values like others; other columns may have any name. Rows
+    with the same id, text and source share their copies, one more for those first in order of a
+    hash of the whole row, so that no group of such rows is numbered in one task. An empty table
+    gives no rows.
+    """
+    frame, (id_, text, source) = by_place(docs, id_col, text_col, source_col)
+    ours = frame.select(
+        F.struct(*frame.columns).alias("_row"), F.col(id_).cast("long").alias("_id"), F.col(source).cast("string").alias("_source"), F.xxhash64(text).alias("_hash"),
     )
-    a, b = ours.withColumn("_n", number).alias("a"), theirs.withColumn("_n", number).alias("b")
-    same = F.expr("a._id <=> b._id AND a._source <=> b._source AND a._hash = b._hash AND a._n = b._n")
-    return (
-        a.join(b.where("copies > 0"), same)
-        .select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
-        .select(*[F.col("_row").getField(c).alias(c) for c in names])
-    )
+    theirs = cut(
+        drawn.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"))
+        .agg(F.count("*").alias("rows"), F.sum("copies").cast("long").alias("total")).where("total > 0")
+    )
+    same = F.expr("a._id <=> b._id AND a._source <=> b._source AND a._hash = b._hash")
+    met = ours.alias("a").join(theirs.alias("b"), same).select("_row", "a._id", "a._source", "a._hash", "rows", "total")
+    found = numbered(met.where("rows = 1").select("_row", "total"), "total", "_copy").select("_row.*")
+    if not theirs.where("rows > 1").isEmpty():
+        found = found.unionByName(_shared_copies(met.where("rows > 1"), [c for c, kind in frame.dtypes if "map<" not in kind and "variant" not in kind]))
+    return found.toDF(*docs.columns)
+
+
+def _shared_copies(met: DataFrame, hashed: list[str]) -> DataFrame:
+    """Rows of groups with several rows for one key; equal rows are one with a count.
+
+    A row's place in its group is a prefix sum in two levels, over 4,096 ranges of the row's hash
+    and within a range.
+    """
+    key = ["_id", "_source", "_hash"]
+    full = F.xxhash64(*[F.col(f"_row.{c}") for c in hashed])
+    variants = cut(met.groupBy(*key, "rows", "total", full.alias("_full")).agg(F.count("*").alias("n"), F.first("_row").alias("_row")).withColumn("_range", F.shiftright("_full", 52)))
+    upto = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = variants.groupBy(*key, "_range").agg(F.sum("n").alias("n")).withColumn("_before", F.coalesce(F.sum("n").over(upto), F.lit(0))).drop("n")
+    within = Window.partitionBy(*key, "_range").orderBy("_full").rowsBetween(Window.unboundedPreceding, -1)
+    v, r = variants.withColumn("_own", F.coalesce(F.sum("n").over(within), F.lit(0))).alias("v"), ranges.alias("r")
+    same = F.expr("v._id <=> r._id AND v._source <=> r._source AND v._hash = r._hash AND v._range = r._range")
+    place = F.col("_before") + F.col("_own")
+    more = F.greatest(F.least(F.col("total") % F.col("rows") - place, F.col("n")), F.lit(0))
+    times = F.expr("total div rows") * F.col("n") + more
+    return numbered(v.join(r, same).select("_row", times.alias("_times")), "_times", "_copy").select("_row.*")
