@@ -23,6 +23,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def by_place(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """The frame with its columns called c0, c1, ... and what ``names`` are called then.
+
+    So columns beside those that an operator reads may have any name, also one that differs from
+    them in case only or holds dots.
+    """
+    columns = df.columns
+    return df.toDF(*[f"c{i}" for i in range(len(columns))]), [f"c{columns.index(name)}" for name in names]
+
+
+def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id (long) and text of every document."""
+    frame, (doc_id, text) = by_place(docs, id_col, text_col)
+    return frame.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Store the rows in the shared checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import remainder, text_slices, uniform
+from reviewloom.llm.common import by_place, id_and_text, remainder, text_slices, uniform
 
 #: Labelled documents per language that the scores are learned from, in expectation.
 TRAIN_DOCS = 3_000
@@ -116,9 +116,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     are all drawn or none. A language none of whose rows is drawn isn't learned; if no language
     is, the model is empty. Null ids and repeated ids are like others.
     """
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
-    )
+    frame, (doc_id, text, lang) = by_place(docs, id_col, text_col, lang_col)
+    named = frame.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    labelled = named.where("lang IS NOT NULL AND text IS NOT NULL")
     counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     empty = Model([], np.zeros((BUCKETS, 0), np.float32), np.ones((len(SCRIPT_NAMES), 0), bool))
     if not counts:
@@ -280,7 +280,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), names.take(pa.array(best, pa.int32())), pa.array(score), lists], ["doc_id", "lang_pred", "score", "spans"])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = id_and_text(docs, id_col, text_col)
     return narrow.mapInArrow(label, "doc_id long, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
 
 
@@ -295,9 +295,12 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.4, tex
     A word is recognised if its label leads all other languages by ``CLEAR`` nats; the words of all
     spans count. If nothing or only one language could be learned there is nothing to compare
     with, and every document with a letter stays. Labels that are one language under two names
-    don't lead each other, so their words aren't recognised.
+    don't lead each other, so their words aren't recognised. A text that is null or has no letter
+    goes; repeated rows and null ids stay or go by their text alone; an empty table gives no rows;
+    other columns may have any name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    frame, (text_col,) = by_place(docs, text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, letters = shared.value, letter_table()
@@ -306,4 +309,4 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.4, tex
                 share = _recognised(part.column(text_col).to_pylist(), model, letters, switch)
                 yield part.filter(pa.array(share >= least_score))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return frame.mapInArrow(keep, frame.schema).toDF(*docs.columns)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import mixed, raw_text, text_slices
+from reviewloom.llm.common import id_and_text, mixed, raw_text, text_slices
 
 #: A unit is a run of ASCII letters or one other character.
 UNIT = re.compile(r"[A-Za-z]+|[^A-Za-z]")
@@ -153,7 +153,7 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 columns = [list(c) for c in zip(*_transformed(part), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = id_and_text(docs, id_col, text_col)
     return narrow.mapInArrow(transform, kind)
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import cut, text_slices
+from reviewloom.llm.common import cut, id_and_text, text_slices
 from reviewloom.llm.tokens import PieceEncoder, default_path
 
 CAPACITY = 2048
@@ -53,7 +53,7 @@ def tokenized_pieces(docs: DataFrame, path: str | None = None, capacity: int = C
                     arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in kind.split(", ")])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = id_and_text(docs, id_col, text_col)
     return narrow.mapInArrow(cut_up, kind)
 
 

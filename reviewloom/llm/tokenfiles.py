@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import cut, shared_folder, text_slices
+from reviewloom.llm.common import cut, id_and_text, shared_folder, text_slices
 from reviewloom.llm.tokens import PieceEncoder, default_path
 
 #: Uncompressed bytes at which a frame is closed; a longer document has a frame of its own.
@@ -144,7 +144,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
             row = {"file_no": context.partitionId(), "path": place, "documents": writer.documents, "tokens": writer.tokens}
             yield pa.RecordBatch.from_pylist([row], pa.schema([("file_no", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())]))
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = id_and_text(docs, id_col, text_col)
     ordered = narrow.withColumn("key", F.xxhash64("text"))  # one id, or null, for many rows doesn't make one range
     order = [F.asc_nulls_first("doc_id"), F.col("key")]
     ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import text_slices, written
+from reviewloom.llm.common import id_and_text, text_slices, written
 from reviewloom.llm.tokens import PieceEncoder, default_path
 
 CAPACITY = 2048
@@ -43,7 +43,7 @@ def token_stream(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part_no, np.int32)), pa.array(reach + ends[:-1]), part.column("doc_id"), pa.array(np.diff(ends)), data], schema=schema)
                 reach += int(ends[-1])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = id_and_text(docs, id_col, text_col)
     return written(narrow.mapInArrow(encode, "part int, part_start long, doc_id long, doc_tokens long, ids binary"), "token-stream")
 
 

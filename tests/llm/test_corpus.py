@@ -113,6 +113,23 @@ def test_near_duplicates_match_all_pairs(docs, texts, odd, empty):
     assert kept.columns == docs.columns and kept.count() == sum(find(i) == i for i in sets)
 
 
+@pytest.mark.parametrize("length", [1_024, 2_048])
+def test_self_similar_words_are_told_apart(spark, length):
+    bits = [bin(i).count("1") % 2 for i in range(length)]
+    words = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+    docs = spark.createDataFrame([(i, f"x y {w}") for i, w in enumerate(words)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == {0: 0, 1: 1}
+
+
+def test_word_hashes_of_blocks_and_long_words(monkeypatch):
+    texts = [" ".join("ab" * (k % 9 + 1) for k in range(300)), "q" * 5_000, "Q" * 5_000, "", "ab abab"]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)])
+    whole, counts = minhash.word_hashes(data, offsets)
+    monkeypatch.setattr(minhash, "_KEPT_POWERS", 64)
+    assert (minhash.word_hashes(data, offsets)[0] == whole).all() and counts.tolist() == [300, 1, 1, 0, 2]
+    assert whole[300] == whole[301] and whole[0] == whole[302] and len(set(whole.tolist())) == 10
+
+
 def test_width_and_percent_are_parameters(spark):
     words = [f"w{i}" for i in range(100)]
     near = [*words[:98], "x", "y"]  # 94 of 98 five-word shingles are shared
@@ -187,6 +204,29 @@ def test_repeated_passages_match_all_windows(docs, texts, odd, empty):
     assert "�" not in "".join(r.text for r in kept.collect())
 
 
+def test_long_runs_of_one_anchor_are_several_segments(spark):
+    rows = [(1, "a" * 900 + "b" * 70), (2, "b" * 60 + "a" * 2_000), (3, "xyz" * 400), (4, "c" + "xyz" * 500), (5, "ab" * 30 + "a" * 51)]
+    found = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == repeats(rows)
+    data = np.frombuffer(rows[1][1].encode(), np.uint8)
+    _, start, end, _, _ = suffixes.segments(data, np.array([0, len(data)]))
+    assert (end - start).max() < suffixes.LEAST + suffixes.SEGMENT_WINDOWS and (end - start - 49).sum() == len(data) - 49
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    text = "one two three four five six seven"
+    rows = [(1, f"{text} eight", "en", "s", 39, 1, 2, "t", 4), (2, f"{text} nine ten", "fr", "s", 42, 3, 4, None, 5)]
+    names = ["doc_id", "text", "lang", "source", "n_chars", "a.b", "my col", "Text", "c1"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, x int, y int, z string, c1 int").toDF(*names)
+    stages = [
+        lambda d: language.keep_identified(d, language.train(d)), lambda d: minhash.one_per_group(d, 80, width=5),
+        suffixes.without_repeats, lambda d: mixing.mixed_documents(d, mixing.mix(d)),
+    ]
+    for stage in stages:
+        found = stage(docs)
+        assert found.columns == names and {tuple(r) for r in found.collect()} <= set(rows)
+
+
 def test_an_anchor_with_many_contents_fills_no_bucket(spark, monkeypatch):
     import pyarrow as pa
 
@@ -199,8 +239,9 @@ def test_an_anchor_with_many_contents_fills_no_bucket(spark, monkeypatch):
     found = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == repeats(rows)
     part = pa.table({"part": pa.array([0] * 300, pa.int32()), "doc_id": pa.array(range(300)), "text": [t for _, t in rows[:300]]})
-    anchors = np.asarray(suffixes._anchors(part)["anchor"])
-    names, counts = np.unique(anchors, return_counts=True)
+    anchors = suffixes._anchors(part)
+    names, counts = np.asarray(anchors["anchor"]), np.asarray(anchors["packed"]) >> suffixes.COUNT_SHIFT
+    assert len(np.unique(names)) == len(names)
     kinds = np.where(counts > 20, 2, 1)
     made = suffixes._candidates(1024)(part, pa.table({"anchor": names, "kind": kinds})).to_pandas()
     own = made[made["content"].str.len() > 0].groupby("bucket").size()
@@ -376,6 +417,42 @@ def test_flight_keeps_count_and_size():
     assert done.sum() == pytest.approx(148) and (done * sizes).sum() == pytest.approx(0.37 * sizes.sum())
 
 
+def test_equal_rows_are_counted_and_share_their_copies(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "REPEAT_BLOCK", 50)
+    hot = spark.range(3_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("hot").alias("source"), (F.col("id") % 7).alias("n_chars"))
+    rest = spark.range(900).select("id", F.concat(F.lit("w "), F.col("id")), F.lit("rest"), F.lit(0).cast("long"))
+    docs = hot.union(rest)
+    drawn = mixing.mix(docs, chunk=200)
+    per = {r.source: r for r in drawn.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n"), F.sum("copies").alias("copies")).collect()}
+    assert per["hot"].n == 3_000 and per["rest"].n == 900
+    assert all(abs(r.taken - r.target) <= 6 for r in per.values())
+    made = mixing.mixed_documents(docs, drawn)
+    counts = {r.source: r["count"] for r in made.groupBy("source").count().collect()}
+    assert counts == {k: r.copies for k, r in per.items()}
+    base, rows = divmod(per["hot"].copies, 3_000)
+    of = {r.n_chars: r["count"] for r in made.where("source = 'hot'").groupBy("n_chars").count().collect()}
+    own = {r.n_chars: r["count"] for r in hot.groupBy("n_chars").count().collect()}
+    assert all(base * own[k] <= n <= (base + 1) * own[k] for k, n in of.items())
+    numbers = mixing.numbered(spark.createDataFrame([("a", 120), ("b", 3), ("c", 0)], "k string, n long"), "n", "i").collect()
+    assert sorted((r.k, r.i) for r in numbers) == [("a", i) for i in range(120)] + [("b", i) for i in range(3)]
+
+
+def test_language_is_learned_without_ids(spark):
+    words = {"en": "the house and water are here with some people".split(), "fr": "la maison et l'eau sont ici avec des gens".split()}
+    rng = random.Random(2)
+    rows = [(lang, " ".join(rng.choice(w) for _ in range(40)) + f" {i}") for i in range(100) for lang, w in words.items()]
+    for doc_id in ("null", "5", "id"):
+        docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "id long, text string, lang string")
+        docs = docs.selectExpr(f"cast({doc_id} as long) as doc_id", "text", "lang")
+        model = language.train(docs, per_language=20)
+        found = language.identify(docs, model).collect()
+        assert model.langs == ["en", "fr"] and {r.lang_pred for r in found} == {"en", "fr"}
+        assert language.keep_identified(docs, model).count() == 200
+    nothing = language.train(docs, per_language=0)
+    assert nothing.langs == [] and language.keep_identified(docs, nothing).count() == 200
+    assert {(r.lang_pred, r.score) for r in language.identify(docs, nothing).collect()} == {("und", 0.0)}
+
+
 def test_mix_comes_near_its_targets(docs, spark, odd, empty):
     many = docs.withColumn("text", F.coalesce("text", F.lit(""))).crossJoin(spark.range(12)).withColumn("doc_id", F.col("doc_id") * 100 + F.col("id")).drop("id")
     drawn = mixing.mix(many, chunk=40).collect()
