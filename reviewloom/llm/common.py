@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +15,7 @@ from reviewloom.session import ensure_checkpoint_dir
 
 #: The white space that separates words in every operator here.
 SPACE = " \t\n\x0b\f\r"
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 #: Text bytes that one numpy step works on, whatever the Arrow batch holds.
 SLICE_BYTES = 4 << 20
 
@@ -87,6 +89,14 @@ def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) ->
     edges = np.flatnonzero(np.diff(part)) + 1
     for start, end in zip([0, *edges], [*edges, len(values)], strict=True):
         yield batch.slice(start, end - start)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a worker would keep it for its next tasks otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def raw_text(values: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:

@@ -35,8 +35,8 @@ _BASE = np.uint64(0x5851F42D4C957F2D)
 PRIMES, BASES = (2_147_483_647, 2_147_483_629), (1_277_093_419, 904_318_277)
 _LOWER = np.arange(256, dtype=np.int64) + 1
 _LOWER[65:91] += 32
-#: Longest text whose powers are kept for the next one.
-_KEPT_POWERS = 1 << 22
+#: Text bytes whose words are hashed together, and powers that are kept for the next ones.
+_KEPT_POWERS = 1 << 20
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -46,8 +46,8 @@ def _powers(base: int, prime: int, n: int) -> np.ndarray:
     known = _POWERS.get(base, np.ones(1, np.uint32))
     while len(known) < n:
         step = pow(base, len(known), prime)
-        known = np.concatenate([known, (known * np.int64(step) % prime).astype(np.uint32)])
-    if len(known) <= _KEPT_POWERS:
+        known = np.concatenate([known, (known[: n - len(known)] * np.int64(step) % prime).astype(np.uint32)])
+    if len(known) <= 2 * _KEPT_POWERS:
         _POWERS[base] = known
     return known[:n]
 
@@ -56,7 +56,7 @@ def _polynomials(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     """The polynomial of each span of some values modulo a prime, by prefix sums."""
     sums = np.zeros(len(values) + 1, np.int64)
     terms = values * _powers(base, prime, len(values))
-    if len(terms) > 2 * _KEPT_POWERS:  # terms are below 2^40, so the sum of up to 2^23 fits
+    if len(terms) > 1 << 23:  # terms are below 2^40, so the sum of up to 2^23 fits
         terms %= prime
     np.cumsum(terms, out=sums[1:])
     down = _powers(pow(base, -1, prime), prime, len(values))
