@@ -15,7 +15,6 @@ from reviewloom.session import ensure_checkpoint_dir
 
 #: The white space that separates words in every operator here.
 SPACE = " \t\n\x0b\f\r"
-_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 #: Text bytes that one numpy step works on, whatever the Arrow batch holds.
 SLICE_BYTES = 4 << 20
 
@@ -95,8 +94,9 @@ def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) ->
 def give_back() -> None:
     """Return freed memory to the system; a worker would keep it for its next tasks otherwise."""
     pa.default_memory_pool().release_unused()
-    if _TRIM is not None:
-        _TRIM(0)
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some systems' C library has it
+    if trim is not None:
+        trim(0)
 
 
 def raw_text(values: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -36,9 +36,9 @@ SEGMENT_WINDOWS = 64
 #: No byte of UTF-8: divides segments.
 DIVIDER = 0xFF
 NO_ID = -(1 << 63)
-#: Bits of hashes that are moved to find repeated anchors and whether their contents differ. The
-#: zero bytes lie at the ends of a row, where shuffle files compress them.
-ANCHOR_BITS, CONTENT_BITS = -(1 << 16), (1 << 40) - 1
+#: Bits of hashes that are moved to find repeated anchors and whether their contents differ.
+ANCHOR_SHIFT = 16
+ANCHOR_BITS, CONTENT_BITS = -(1 << ANCHOR_SHIFT), (1 << 40) - 1
 #: Above a content's bits: whether the part has others, and how many, counted up to more than any bucket takes.
 CONTENT_SHIFT, COUNT_SHIFT, MOST_COUNTED = 40, 41, 1 << 21
 _BASE = np.uint64(0x9FB21C651E98DF25)
@@ -111,7 +111,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, least: int = LEAST, gram: in
         stops = np.minimum(start + SEGMENT_WINDOWS - 1, last)
     end = stops + least
     text = np.searchsorted(offsets, start, "right") - 1
-    return text, start, end, anchor[start].view(np.int64), hasher.spans(start, end).view(np.int64)
+    # A minimum of hashes is small as a rule; mixed again, anchors spread evenly.
+    return text, start, end, mixed(anchor[start]).view(np.int64), hasher.spans(start, end).view(np.int64)
 
 
 def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,27 +210,103 @@ def _texts(table: pa.Table):
                 yield np.asarray(ids)[a:b], data, offsets
 
 
-def _anchors(table: pa.Table) -> pa.Table:
-    """A row for each anchor of a part: its smallest content, whether there are others, and their number.
+def to_planes(values: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """Numbers of each row as bytes, all lowest bytes first, then all second ones, and so on.
 
-    A content that is in two documents of the part counts twice. All three share one number.
+    What numbers have in common, such as high bytes of zero, so lies together and compresses.
     """
-    kept: list[list[np.ndarray]] = [[], [], [], []]
-    for ids, data, offsets in _texts(table):
-        text, _, _, anchor, key = segments(data, offsets)
-        for values, new in zip(kept, _spread(anchor, key, ids[text], ids[text]), strict=True):
-            values.append(new)
-    anchor, key, low, high = _spread(*[np.concatenate(v) if v else np.zeros(0, np.int64) for v in kept])
-    anchor, key, times = anchor & ANCHOR_BITS, key & CONTENT_BITS, 1 + (low < high).astype(np.int64)
-    order = np.argsort(anchor)
-    first = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0])) if len(order) else order
-    if len(first):
+    ends = np.cumsum(sizes)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    begin = (ends - sizes)[row]
+    place, step = 8 * begin + np.arange(len(values)) - begin, sizes[row]
+    flat, split = np.empty(8 * len(values), np.uint8), np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)
+    for k in range(8):
+        flat[place + k * step] = split[:, k]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.concatenate([[0], 8 * ends]).astype(np.int32)), pa.py_buffer(flat)])
+
+
+def from_planes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows one after another (uint64), and how many each row has."""
+    rows = column.to_pylist()
+    sizes = np.array([len(r) for r in rows], np.int64) // 8
+    flat, row = np.frombuffer(b"".join(rows), np.uint8), np.repeat(np.arange(len(sizes)), sizes)
+    begin = (np.cumsum(sizes) - sizes)[row]
+    place, step, values = 7 * begin + np.arange(len(row)), sizes[row], np.zeros(len(row), np.uint64)
+    for k in range(8):
+        values |= flat[place + k * step].astype(np.uint64) << np.uint64(8 * k)
+    return values, sizes
+
+
+def packed_anchors(anchor: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """Ascending anchors of each row as differences."""
+    values = anchor.view(np.uint64) >> np.uint64(ANCHOR_SHIFT)
+    gaps = np.diff(values, prepend=np.zeros(1, np.uint64))
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    gaps[first] = values[first]
+    return to_planes(gaps, sizes)
+
+
+def unpacked_anchors(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of all rows and the number in each row."""
+    gaps, sizes = from_planes(column)
+    reach = np.concatenate([np.zeros(1, np.uint64), np.cumsum(gaps, dtype=np.uint64)])
+    before = reach[np.cumsum(sizes) - sizes]
+    return ((reach[1:] - np.repeat(before, sizes)) << np.uint64(ANCHOR_SHIFT)).view(np.int64), sizes
+
+
+def _anchors(buckets: int):
+    def find(table: pa.Table) -> pa.Table:
+        """For each bucket the anchors of a part: the smallest content, whether there are others, and how many.
+
+        A content that is in two documents of the part counts twice. All three share one number.
+        """
+        kept: list[list[np.ndarray]] = [[], [], [], []]
+        for ids, data, offsets in _texts(table):
+            text, _, _, anchor, key = segments(data, offsets)
+            for values, new in zip(kept, _spread(anchor, key, ids[text], ids[text]), strict=True):
+                values.append(new)
+        anchor, key, low, high = _spread(*[np.concatenate(v) if v else np.zeros(0, np.int64) for v in kept])
+        if not len(anchor):
+            return pa.table([pa.array([], t) for t in ANCHORS.types], schema=ANCHORS)
+        anchor, key, times = anchor & ANCHOR_BITS, key & CONTENT_BITS, 1 + (low < high).astype(np.int64)
+        order = np.argsort(anchor.view(np.uint64))
         anchor, key, times = anchor[order], key[order], times[order]
+        first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         least, most = np.minimum.reduceat(key, first), np.maximum.reduceat(key, first)
         count = np.minimum(np.add.reduceat(times, first), MOST_COUNTED)
-        anchor, key = anchor[first], count << COUNT_SHIFT | (least != most).astype(np.int64) << CONTENT_SHIFT | least
-    part = table.column("part")[0].as_py() if table.num_rows else 0
-    return pa.table({"anchor": pa.array(anchor), "packed": pa.array(key), "part": pa.array(np.full(len(key), part), pa.int32())})
+        anchor, packed = anchor[first], count << COUNT_SHIFT | (least != most).astype(np.int64) << CONTENT_SHIFT | least
+        bucket = ((anchor.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)  # ascending, as anchors are
+        names, sizes = np.unique(bucket, return_counts=True)
+        part = np.full(len(names), table.column("part")[0].as_py(), np.int32)
+        return pa.table([pa.array(names), pa.array(part), packed_anchors(anchor, sizes), to_planes(packed.view(np.uint64), sizes)], schema=ANCHORS)
+
+    return find
+
+
+def _repeated(table: pa.Table) -> pa.Table:
+    """For each part the anchors of a bucket that are in two documents, and of which kind each is.
+
+    Kind 0 has one content, kind 1 several that fit a bucket, kind 2 more than that.
+    """
+    anchor, sizes = unpacked_anchors(table.column("anchors"))
+    if not len(anchor):
+        return pa.table([pa.array([], t) for t in REPEATED.types], schema=REPEATED)
+    packed = from_planes(table.column("contents"))[0].view(np.int64)
+    order = np.argsort(anchor, kind="stable")
+    group = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]]))
+    packed = packed[order]
+    content, count = packed & CONTENT_BITS, np.add.reduceat(packed >> COUNT_SHIFT, group)
+    others = np.maximum.reduceat(packed >> CONTENT_SHIFT & 1, group) > 0
+    varied = others | (np.minimum.reduceat(content, group) != np.maximum.reduceat(content, group))
+    kind = np.where(~varied, 0, np.where(count <= ANCHOR_CONTENTS, 1, 2)).astype(np.uint8)
+    members = np.diff(np.append(group, len(anchor)))
+    own = np.empty(len(anchor), np.uint8)
+    own[order] = np.repeat(np.where(count > 1, kind, 255), members).astype(np.uint8)
+    wanted = np.flatnonzero(own < 255)  # in the order of rows, and ascending in each
+    row = np.repeat(np.arange(len(sizes)), sizes)[wanted]
+    rows, sizes = np.unique(row, return_counts=True)
+    kinds = pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.py_buffer(own[wanted])])
+    return pa.table([table.column("part").take(pa.array(rows)).combine_chunks(), packed_anchors(anchor[wanted], sizes), kinds], schema=REPEATED)
 
 
 def _spread(anchor: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarray):
@@ -274,8 +351,10 @@ def _candidates(buckets: int):
         The bytes go along only where the anchor has different contents. Where it has too many for
         a bucket (``kind`` 2), each window is a segment of its own, in a bucket of its own hash.
         """
-        known, first = np.unique(np.asarray(repeated.column("anchor")).astype(np.int64), return_index=True)
-        kind = np.asarray(repeated.column("kind"))[first]
+        known = unpacked_anchors(repeated.column("anchors"))[0]
+        kind = np.frombuffer(b"".join(repeated.column("kinds").to_pylist()), np.uint8)
+        order = np.argsort(known)
+        known, kind = known[order], kind[order]
         kept: list[list] = [[], [], [], [], [], []]
         for ids, data, offsets in _texts(table):
             found = segments(data, offsets)
@@ -406,6 +485,8 @@ def _whole_characters(text: bytes, spans: list[dict]) -> str:
     return b"".join([*kept, text[at:]]).decode("utf-8", "replace")
 
 
+ANCHORS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("anchors", pa.binary()), ("contents", pa.binary())])
+REPEATED = pa.schema([("part", pa.int32()), ("anchors", pa.binary()), ("kinds", pa.binary())])
 SEGMENTS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("many", pa.bool_()), ("content", pa.binary()), ("anchor", pa.int64())])
 ANSWERS = pa.schema([("part", pa.int32()), ("key", pa.int64()), ("smallest", pa.list_(pa.int64())), ("anchor", pa.int64())])
 SCHEMA = pa.schema([
@@ -456,16 +537,10 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, id_col: str = "doc_
     parts = max(1, -(-size // PART_BYTES))
     dealt = plain.withColumn("part", part_of(parts)).select("part", "doc_id", "text", *carried).repartition("part")
     by_part = dealt.groupBy("part")
-    anchors = by_part.applyInArrow(_anchors, "anchor long, packed long, part int")
-    same = Window.partitionBy("anchor")  # a row for each part that has the anchor, whatever its contents
-    content, count = F.col("packed").bitwiseAND(CONTENT_BITS), F.shiftright("packed", COUNT_SHIFT)
-    varied = (F.max(F.shiftright("packed", CONTENT_SHIFT).bitwiseAND(1)).over(same) == 1) | (F.min(content).over(same) != F.max(content).over(same))
-    repeated = (
-        anchors.withColumn("n", F.sum(count).over(same)).withColumn("varied", varied)
-        .withColumn("kind", F.when(~F.col("varied"), 0).when(F.col("n") <= ANCHOR_CONTENTS, 1).otherwise(2))
-        .where("n > 1").select("part", "anchor", "kind")
-    )
-    segments_ = by_part.cogroup(repeated.groupBy("part")).applyInArrow(_candidates(parts * BUCKETS_PER_PART), "bucket int, part int, key long, doc long, many boolean, content binary, anchor long")
+    buckets = parts * BUCKETS_PER_PART
+    anchors = by_part.applyInArrow(_anchors(buckets), "bucket int, part int, anchors binary, contents binary")
+    repeated = anchors.groupBy("bucket").applyInArrow(_repeated, "part int, anchors binary, kinds binary")
+    segments_ = by_part.cogroup(repeated.groupBy("part")).applyInArrow(_candidates(buckets), "bucket int, part int, key long, doc long, many boolean, content binary, anchor long")
     answers = segments_.groupBy("bucket").applyInArrow(_matched, "part int, key long, smallest array<long>, anchor long")
     kind = StructType([*StructType.fromDDL(RESULT), *[plain.schema[c] for c in carried]])
     found = by_part.cogroup(answers.groupBy("part")).applyInArrow(_removed(with_text, tuple(carried)), kind)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,8 +229,6 @@ def test_stages_keep_columns_of_any_name(spark):
 
 
 def test_an_anchor_with_many_contents_fills_no_bucket(spark, monkeypatch):
-    import pyarrow as pa
-
     rng = random.Random(8)
     phrase = "the same phrase of thirty bytes"
     rows = [(i, f"{sentence(rng, 12)} {phrase} {sentence(rng, 12)}") for i in range(300)]
@@ -239,17 +238,30 @@ def test_an_anchor_with_many_contents_fills_no_bucket(spark, monkeypatch):
     found = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == repeats(rows)
     part = pa.table({"part": pa.array([0] * 300, pa.int32()), "doc_id": pa.array(range(300)), "text": [t for _, t in rows[:300]]})
-    anchors = suffixes._anchors(part)
-    names, counts = np.asarray(anchors["anchor"]), np.asarray(anchors["packed"]) >> suffixes.COUNT_SHIFT
-    assert len(np.unique(names)) == len(names)
-    kinds = np.where(counts > 20, 2, 1)
-    made = suffixes._candidates(1024)(part, pa.table({"anchor": names, "kind": kinds})).to_pandas()
+    anchors = suffixes._anchors(64)(part)
+    names = suffixes.unpacked_anchors(anchors["anchors"])[0]
+    counts = suffixes.from_planes(anchors["contents"])[0] >> np.uint64(suffixes.COUNT_SHIFT)
+    assert len(np.unique(names)) == len(names) and anchors.num_rows == len(set(anchors["bucket"].to_pylist()))
+    kinds = pa.array([np.where(counts > 20, 2, 1).astype(np.uint8).tobytes()])
+    all_names = suffixes.packed_anchors(np.sort(names.view(np.uint64)).view(np.int64), np.array([len(names)]))
+    made = suffixes._candidates(1024)(part, pa.table({"anchors": pa.chunked_array([all_names]), "kinds": kinds})).to_pandas()
     own = made[made["content"].str.len() > 0].groupby("bucket").size()
     windows = made[made["anchor"].notna()]
     assert counts.max() > 40 and windows["bucket"].nunique() > 20 and own.max() <= 20
     assert made["content"].str.len().gt(0).sum() + len(windows) == len(made)
 
 
+def test_anchors_are_packed_without_loss():
+    rng = np.random.default_rng(4)
+    rows = [np.sort(rng.integers(0, 1 << 48, n).astype(np.uint64)) << np.uint64(16) for n in (0, 1, 700, 0, 3)]
+    sizes = np.array([len(r) for r in rows])
+    flat = np.concatenate(rows).view(np.int64)
+    found, counted = suffixes.unpacked_anchors(pa.chunked_array([suffixes.packed_anchors(flat, sizes)]))
+    assert (found == flat).all() and (counted == sizes).all()
+    values = rng.integers(0, 1 << 63, len(flat)).astype(np.uint64)
+    assert (suffixes.from_planes(pa.chunked_array([suffixes.to_planes(values, sizes)]))[0] == values).all()
+
+
 def test_texts_of_one_id_are_dealt_to_all_parts(spark):
     texts = spark.range(2_000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
     counts = [r["count"] for r in texts.select(suffixes.part_of(4).alias("part")).groupBy("part").count().collect()]
