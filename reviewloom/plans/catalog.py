@@ -6,6 +6,7 @@ lists of words that do. Nested results are joined to text at the edge.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,7 @@ from reviewloom.operators.preprocess import preprocess
 from reviewloom.plans.evidence import evidence
 from reviewloom.session import ensure_checkpoint_dir, prepare
 from reviewloom.sources import driver_tables as views
-from reviewloom.sources import raw_json
+from reviewloom.sources import json_arrays, raw_json
 from reviewloom.sources.manifest import file_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,6 +167,32 @@ def normalize_records(spark, folder):
     )
 
 
+@query
+def array_exports(spark, folder):
+    """Documents as records in JSON array files, read back by splits and ingested with all columns."""
+    number = F.col("doc_id")
+    answer = F.struct(
+        F.concat(F.lit('Thanks, "we" {care}, \\o/ '), "source").alias("text"), F.lit("2026-08-11T00:00:00Z").alias("date")
+    )
+    record = F.struct(
+        F.struct(F.upper("source").alias("name")).alias("place"),
+        F.struct(number.cast("string").alias("id"), F.col("lang").alias("name")).alias("author"),
+        number.cast("string").alias("reviewId"),
+        F.concat(F.lit("https://example.org/"), number).alias("url"),
+        F.col("text"),
+        (number % 5 + 1).alias("rating"),
+        F.when(number % 3 == 0, answer).alias("ownerResponse"),
+        F.col("lang").alias("language"),
+    )
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/exports-{uuid.uuid4().hex}"
+    json_arrays.write_arrays(views.table(spark, folder, "documents").select(F.to_json(record).alias("value")), path)
+    source = raw_json.ReviewSource(path, "web", "Web", "corpus")
+    return raw_json.ingest(spark, [source]).drop("raw_source_file", "review_date").withColumn(
+        "owner_response_date", _date("owner_response_date")
+    )
+
+
 @query
 def source_file_digests(spark, folder):
     """Size and SHA-256 of the table files."""

@@ -322,6 +322,12 @@ SELECT CASE WHEN n % 7 <> 0 THEN review_id ELSE 'generated-' || substr(sha256(br
   rating, review_text, language, review_id AS reviewer_id,
   CASE WHEN n % 2 = 0 THEN 'A' END AS reviewer_name, n % 7 = 0 AS review_id_is_generated
 FROM reviews"""
+    sql["array_exports"] = """SELECT CAST(doc_id AS VARCHAR) AS review_id, 'corpus' AS brand_id, 'web' AS branch_id, 'Web' AS branch_name,
+  upper(source) AS place_name_raw, 'google_maps' AS source, CAST(doc_id % 5 + 1 AS DOUBLE) AS rating, text AS review_text, lang AS language,
+  CASE WHEN doc_id % 3 = 0 THEN 'Thanks, "we" {care}, \\o/ ' || source END AS owner_response_text,
+  CASE WHEN doc_id % 3 = 0 THEN '2026-08-11 00:00:00' END AS owner_response_date,
+  'https://example.org/' || doc_id AS review_url, CAST(doc_id AS VARCHAR) AS reviewer_id, lang AS reviewer_name,
+  false AS review_id_is_generated FROM documents"""
     sql["count_by_source_file"] = f"""WITH {_reviews()}
 SELECT coalesce(raw_source_file, '<missing>') AS raw_source_file, count(*) AS record_count
 FROM reviews GROUP BY 1"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -9,16 +10,16 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.functions.rows import unnest
 from reviewloom.functions.values import parse_timestamp
 from reviewloom.schemas import NORMALIZED_COLUMNS
+from reviewloom.sources.json_arrays import read_arrays
 
 SOURCE_NAME = "google_maps"
 
 
 @dataclass(frozen=True)
 class ReviewSource:
-    """A file, or a folder of JSON Lines shards, and the labels of its reviews."""
+    """A file, or a folder of array files or JSON Lines shards, and the labels of its reviews."""
 
     path: str
     branch_id: str
@@ -29,25 +30,6 @@ class ReviewSource:
 # -- reading -----------------------------------------------------------------
 
 
-def read_arrays(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Files that hold one JSON array each: (raw, path). Another root is an error.
-
-    One file is one task, because an array cannot be split. Large exports should be
-    JSON Lines.
-    """
-    files = (
-        spark.read.option("multiLine", True)
-        .option("mode", "FAILFAST")
-        .option("singleVariantColumn", "document")
-        .json(paths)
-    )
-    elements = F.try_variant_get("document", "$", "array<variant>")
-    problem = F.raise_error(F.concat(F.lit("expected a top-level JSON list in "), F.col("path")))
-    located = files.select("document", F.col("_metadata.file_path").alias("path"))
-    checked = F.when(elements.isNotNull(), elements).otherwise(problem.cast("array<variant>"))
-    return unnest(located, checked, "raw", "path").select("raw", "path")
-
-
 def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """JSON Lines files, which split over tasks: (raw, path)."""
     records = spark.read.option("mode", "FAILFAST").option("singleVariantColumn", "raw").json(paths)
@@ -144,7 +126,7 @@ def source_labels(sources: Iterable[ReviewSource], path: Column) -> Column:
     """
     entries: list[Column] = []
     for source in sources:
-        key = unquote(source.path).removeprefix("file://").rstrip("/")
+        key = re.sub("^file:/+", "/", unquote(source.path)).rstrip("/")
         labels = F.struct(
             F.lit(source.brand_id).alias("brand_id"),
             F.lit(source.branch_id).alias("branch_id"),
