@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.scoring import mining_bucket
 from reviewloom.session import ensure_checkpoint_dir
 
+#: Sets of a basket that are counted without pruning between lengths.
+SUBSETS = 500
+
 
 def _aspect_items(aspects: DataFrame) -> DataFrame:
     # A set per review id is bounded by the number of aspects and combined map-side.
@@ -61,26 +66,25 @@ def baskets(reviews_nlp: DataFrame, aspects: DataFrame) -> DataFrame:
     )
 
 
-def frequent_itemsets(distinct_baskets: DataFrame, min_support: float = 0.01, max_len: int = 3) -> DataFrame:
-    """Item sets in at least ``min_support`` of all baskets: (itemset, occurrences, support).
-
-    Works on distinct baskets, whose number depends on the vocabulary and not on the
-    reviews. Infrequent single items are removed first; then each basket grows its sets
-    one item at a time to the right, so every set comes out once per basket.
-    """
-    total = distinct_baskets.agg(F.sum("n")).scalar()
+def _pruned(distinct_baskets: DataFrame, total: Column, min_support: float) -> DataFrame:
+    """Baskets with their frequent items only: (kept, n)."""
     single = (
         distinct_baskets.select(F.explode("items").alias("item"), "n")
         .groupBy("item")
         .agg(F.sum("n").alias("occurrences"))
         .where(F.col("occurrences") / total >= min_support)
     )
-    pruned = (
+    return (
         distinct_baskets.select("items", "n", F.explode("items").alias("item"))
         .join(single, "item", "left_semi")
         .groupBy("items", "n")
         .agg(F.array_sort(F.collect_list("item")).alias("kept"))
+        .select("kept", "n")
     )
+
+
+def _all_subsets(pruned: DataFrame, max_len: int) -> DataFrame:
+    """Every set of up to ``max_len`` items of every basket: (itemset, n)."""
     level = pruned.select(
         "kept", "n", F.posexplode("kept").alias("last", "item")
     ).select("kept", "n", "last", F.array("item").alias("itemset"))
@@ -96,12 +100,83 @@ def frequent_itemsets(distinct_baskets: DataFrame, min_support: float = 0.01, ma
             F.array_append("itemset", F.col("item")).alias("itemset"),
         )
         levels = levels.unionByName(level.select("itemset", "n"))
-    return (
-        levels.groupBy("itemset")
-        .agg(F.sum("n").alias("occurrences"))
-        .withColumn("support", F.col("occurrences") / total)
-        .where(F.col("support") >= min_support)
-    )
+    return levels
+
+
+def candidate_sets(frequent: DataFrame, size: int) -> DataFrame:
+    """(itemset, lasts): the items that may follow each frequent set of ``size`` items, by the level itself.
+
+    Two sets that differ in their last item only make a candidate, and it stays if all its other
+    subsets are frequent too.
+    """
+    named = frequent.select("itemset", F.slice("itemset", 1, size - 1).alias("stem"), F.element_at("itemset", -1).alias("last"))
+    other = named.select("stem", F.col("last").alias("next"))
+    made = named.join(other, "stem").where("last < next").select("itemset", "next")
+    if size > 1:
+        # Without its last two items a subset lacks one of the first ``size - 1``.
+        grown = F.array_append("itemset", F.col("next"))
+        lacking = F.transform(F.sequence(F.lit(0), F.lit(size - 2)), lambda i: F.filter(grown, lambda _, k: k != i))
+        parts = made.select("itemset", "next", F.explode(lacking).alias("part"))
+        known = parts.join(frequent.select(F.col("itemset").alias("part")), "part", "left_semi")
+        made = known.groupBy("itemset", "next").count().where(F.col("count") == size - 1)
+    return made.groupBy("itemset").agg(F.collect_list("next").alias("lasts"))
+
+
+def _level_wise(pruned: DataFrame, total: Column, min_support: float, max_len: int) -> DataFrame:
+    """Frequent sets, one length after another: (itemset, occurrences).
+
+    A row is a set in a basket with the basket's items behind it. It grows only by items that make
+    a candidate, and only rows of frequent sets go on, so a basket gives as many rows as it has
+    frequent sets and not as it has subsets. Pairs come from the baskets themselves: all pairs of
+    frequent items are candidates.
+    """
+    behind = F.slice("kept", F.col("at") + 2, F.size("kept"))
+    rows = pruned.select("kept", "n", F.posexplode("kept").alias("at", "item")).select(F.array("item").alias("itemset"), behind.alias("rest"), "n").checkpoint()
+    found = []
+    for size in range(1, max_len + 1):
+        counted = rows.groupBy("itemset").agg(F.sum("n").alias("occurrences"))
+        frequent = counted.where(F.col("occurrences") / total >= min_support).checkpoint()
+        found.append(frequent)
+        if size == max_len or frequent.isEmpty():
+            break
+        open_ = rows.where(F.size("rest") > 0).join(frequent.select("itemset"), "itemset", "left_semi")
+        if size == 1:
+            grown = open_.select("itemset", "n", "rest", F.explode("rest").alias("item"))
+        else:
+            nexts = candidate_sets(frequent, size)
+            grown = open_.join(nexts, "itemset").select("itemset", "n", "rest", F.explode(F.array_intersect("rest", "lasts")).alias("item"))
+        # Both arrays are in order of their bytes, so what is greater than the item lies behind it.
+        rest = F.filter("rest", lambda x: x > F.col("item"))
+        rows = grown.select(F.array_append("itemset", F.col("item")).alias("itemset"), rest.alias("rest"), "n").checkpoint()
+    result = found[0]
+    for more in found[1:]:
+        result = result.unionByName(more)
+    return result
+
+
+def subsets_of(width: int, max_len: int) -> int:
+    """Number of sets of up to ``max_len`` of ``width`` items."""
+    return sum(math.comb(width, size) for size in range(1, max_len + 1))
+
+
+def frequent_itemsets(distinct_baskets: DataFrame, min_support: float = 0.01, max_len: int = 3) -> DataFrame:
+    """Item sets in at least ``min_support`` of all baskets: (itemset, occurrences, support).
+
+    Works on distinct baskets, whose number depends on the vocabulary and not on the
+    reviews. Infrequent single items are removed first. Where no basket has more than
+    ``SUBSETS`` sets, all are counted in one go; wider baskets go level by level, where only
+    frequent sets grow. Both count the same.
+    """
+    total = distinct_baskets.agg(F.sum("n")).scalar()
+    pruned = _pruned(distinct_baskets, total, min_support)
+    ensure_checkpoint_dir(distinct_baskets.sparkSession)
+    pruned = pruned.checkpoint()
+    width = pruned.agg(F.max(F.size("kept"))).first()[0] or 0
+    if subsets_of(width, max_len) <= SUBSETS:
+        counted = _all_subsets(pruned, max_len).groupBy("itemset").agg(F.sum("n").alias("occurrences"))
+    else:
+        counted = _level_wise(pruned, total, min_support, max_len)
+    return counted.withColumn("support", F.col("occurrences") / total).where(F.col("support") >= min_support)
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float = 0.3) -> DataFrame:

@@ -474,6 +474,17 @@ def frequent_itemsets(spark, folder):
     )
 
 
+@query
+def word_itemsets(spark, folder):
+    """Words that many documents have in common: wide baskets, sets of up to five words."""
+    words = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)))
+    texts = views.table(spark, folder, "documents").select(words.alias("items")).where(F.size("items") > 0)
+    found = mining.frequent_itemsets(texts.groupBy("items").agg(F.count("*").alias("n")), 0.45, 5)
+    return found.select(
+        F.array_join("itemset", "|").alias("itemset"), "occurrences", F.round("support", 6).alias("support")
+    )
+
+
 @query
 def association_rules(spark, folder):
     rules = mining.mine_rules(*_scored(spark, folder))

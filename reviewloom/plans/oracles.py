@@ -169,6 +169,23 @@ frequent AS (SELECT itemset, occurrences, occurrences / t AS support FROM sets_a
   WHERE occurrences / t >= 0.01)"""
 
 
+def _word_itemsets(support: float, longest: int) -> str:
+    """Sets of frequent words, each length joined from the one before."""
+    parts = [
+        f"""WITH d AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS w FROM documents),
+total AS (SELECT count(DISTINCT doc_id) AS t FROM d),
+f1 AS (SELECT [w] AS s, count(*) AS n FROM d GROUP BY w HAVING count(*) / (SELECT t FROM total) >= {support}),
+kept AS (SELECT doc_id, w FROM d WHERE [w] IN (SELECT s FROM f1)),
+r1 AS (SELECT doc_id, [w] AS s FROM kept)"""
+    ]
+    for k in range(2, longest + 1):
+        parts.append(f"""r{k} AS (SELECT r.doc_id, list_append(r.s, k.w) AS s FROM r{k - 1} r JOIN kept k ON r.doc_id = k.doc_id AND k.w > r.s[{k - 1}]
+  WHERE r.s IN (SELECT s FROM f{k - 1})),
+f{k} AS (SELECT s, count(*) AS n FROM r{k} GROUP BY s HAVING count(*) / (SELECT t FROM total) >= {support})""")
+    every = " UNION ALL ".join(f"SELECT * FROM f{k}" for k in range(1, longest + 1))
+    return ",\n".join(parts) + f"\nSELECT array_to_string(s, '|') AS itemset, n AS occurrences, round(n / t, 6) AS support FROM ({every}), total"
+
+
 def _rules() -> str:
     return f"""{_baskets()},
 sides AS (SELECT f.support, a.itemset AS antecedent, c.itemset AS consequent,
@@ -427,6 +444,7 @@ SELECT review_id, branch_name, rating, review_text FROM reviews ORDER BY review_
     )
     sql["frequent_itemsets"] = f"""WITH {_baskets()}
 SELECT array_to_string(itemset, '|') AS itemset, occurrences, round(support, 6) AS support FROM frequent"""
+    sql["word_itemsets"] = _word_itemsets(0.45, 5)
     sql["association_rules"] = f"""WITH {_rules()}
 SELECT array_to_string(antecedent, '|') AS antecedent, array_to_string(consequent, '|') AS consequent,
   support, confidence, lift FROM rules"""

@@ -95,3 +95,44 @@ def test_join_with_hot_keys_is_an_inner_join(spark):
     joined = join_with_hot_keys(left, right, "k", "count", 6000)
     assert joined.count() == left.join(right, "k").count() == 5999
     assert joined.exceptAll(left.join(right, "k")).count() == 0
+
+
+def as_baskets(spark, baskets):
+    return spark.createDataFrame([(sorted(b), n) for b, n in baskets], "items array<string>, n long")
+
+
+def test_wide_baskets_level_by_level(spark, rows):
+    import random
+
+    rng = random.Random(6)
+    common = [f"c{i:02}" for i in range(14)]
+    plain = [sorted({*(c for c in common if rng.random() < 0.7), *(f"r{rng.randint(0, 4_000)}" for _ in range(200))}) for _ in range(60)]
+    found = {tuple(r["itemset"]): (r["occurrences"], r["support"]) for r in rows(mining.frequent_itemsets(as_baskets(spark, [(b, 2) for b in plain]), 0.15, 5))}
+    assert min(len(b) for b in plain) > 180
+    kept = [[i for i in b if i.startswith("c")] for b in plain]
+    support, _ = brute_force(kept, 0.15, 2, 5)
+    assert {k: v[1] for k, v in found.items()} == pytest.approx(support)
+    assert all(n == round(share * 120) for n, share in found.values()) and max(map(len, found)) == 5
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    baskets=st.lists(st.sets(st.sampled_from("abcdefgh"), min_size=1), min_size=1, max_size=12),
+    min_support=st.sampled_from([0.1, 0.3, 0.6]),
+)
+def test_levels_and_all_subsets_agree(spark, baskets, min_support):
+    support, _ = brute_force(baskets, min_support, 2, 4)
+    distinct = as_baskets(spark, [(b, 1) for b in baskets]).groupBy("items").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
+    limit = mining.SUBSETS
+    try:
+        for mining.SUBSETS in (0, 10_000):
+            found = mining.frequent_itemsets(distinct, min_support, 4).collect()
+            assert {tuple(r.itemset): r.support for r in found} == pytest.approx(support)
+    finally:
+        mining.SUBSETS = limit
+
+
+def test_candidates_need_all_their_subsets(spark):
+    frequent = spark.createDataFrame([(list(s),) for s in ("ab", "ac", "bc", "bd", "cd", "xy")], "itemset array<string>")
+    found = {tuple(r.itemset): r.lasts for r in mining.candidate_sets(frequent, 2).collect()}
+    assert found == {("a", "b"): ["c"], ("b", "c"): ["d"]}
