@@ -106,7 +106,7 @@ def test_wide_baskets_level_by_level(spark, rows):
 
     rng = random.Random(6)
     common = [f"c{i:02}" for i in range(14)]
-    plain = [sorted({*(c for c in common if rng.random() < 0.7), *(f"r{rng.randint(0, 4_000)}" for _ in range(200))}) for _ in range(60)]
+    plain = [sorted({*(c for c in common if rng.random() < 0.7), *(f"r{rng.randint(0, 40_000)}" for _ in range(200))}) for _ in range(60)]
     found = {tuple(r["itemset"]): (r["occurrences"], r["support"]) for r in rows(mining.frequent_itemsets(as_baskets(spark, [(b, 2) for b in plain]), 0.15, 5))}
     assert min(len(b) for b in plain) > 180
     kept = [[i for i in b if i.startswith("c")] for b in plain]
