@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.text import snippet
 
+#: Columns that a search shows.
+SEARCH_COLUMNS = ("review_id", "branch_id", "branch_name", "rating", "review_date", "cleaned_text", "review_text")
+
 
 def of_branch(table: DataFrame, branch_id: str) -> DataFrame:
     """Rows of one branch; an unknown branch has none."""
@@ -36,18 +39,14 @@ def first_topics(topics: DataFrame, limit: int = 5) -> DataFrame:
 def search_feedback(
     reviews: DataFrame, query: str, branch_id: str | None = None, limit: int = 10
 ) -> DataFrame:
-    """Reviews whose cleaned text contains the query, any case; the lowest ids first."""
+    """Reviews whose cleaned text contains the query, any case; the lowest ids first.
+
+    Looks into all texts; ``search_index`` answers repeated searches from an index.
+    """
     hits = reviews.where(F.contains(F.lower("cleaned_text"), F.lit(query.lower())))
     chosen = hits if branch_id is None else of_branch(hits, branch_id)
-    return chosen.orderBy("review_id").limit(limit).select(
-        "review_id",
-        "branch_id",
-        "branch_name",
-        "rating",
-        "review_date",
-        snippet(F.col("cleaned_text")).alias("cleaned_text"),
-        "review_text",
-    )
+    shown = {"cleaned_text": snippet(F.col("cleaned_text"))}
+    return chosen.orderBy("review_id").limit(limit).select(*(shown.get(c, F.col(c)).alias(c) for c in SEARCH_COLUMNS))
 
 
 def branch_performance(

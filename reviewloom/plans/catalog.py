@@ -28,6 +28,7 @@ from reviewloom.operators import (
     nlp,
     quality,
     routing,
+    search_index,
     summaries,
     topics,
 )
@@ -624,6 +625,22 @@ def search_feedback(spark, folder):
     return found.select("review_id", "branch_id", "rating", _date("review_date"), "cleaned_text")
 
 
+SEARCHES = ("The ", "eN unD ", "que la", "qu", "no such words")
+
+
+@query
+def search_indexed(spark, folder):
+    """Several searches over one index of all reviews: frequent, rare, short and vain ones."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/search-{uuid.uuid4().hex}"
+    index = search_index.build_search_index(_clean(spark, folder), path)
+    found = None
+    for words in SEARCHES:
+        rows = search_index.search(index, words, limit=20).withColumn("query", F.lit(words))
+        found = rows if found is None else found.unionByName(rows)
+    return found.select("query", "review_id", "branch_id", "rating", _date("review_date"), "cleaned_text")
+
+
 @query
 def branch_performance(spark, folder):
     reviews = _clean(spark, folder)

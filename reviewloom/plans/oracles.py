@@ -10,6 +10,7 @@ from reviewloom.plans.catalog import (
     PROBE_LEXICON,
     PROBE_STOPWORDS,
     RISK,
+    SEARCHES,
     TERMS,
 )
 
@@ -495,6 +496,10 @@ SELECT * FROM p WHERE position <= 2"""
     sql["search_feedback"] = f"""WITH {_reviews()}, top AS (
   SELECT * FROM reviews WHERE contains(lower(cleaned_text), 'the ') ORDER BY review_id LIMIT 20)
 SELECT review_id, branch_id, rating, {_DATE}, substr(cleaned_text, 1, 280) AS cleaned_text FROM top"""
+    sql["search_indexed"] = f"""WITH {_reviews()}, asked AS (SELECT unnest({list(SEARCHES)}) AS query), hits AS (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY review_id) AS place
+  FROM reviews JOIN asked ON contains(lower(cleaned_text), lower(query)))
+SELECT query, review_id, branch_id, rating, {_DATE}, substr(cleaned_text, 1, 280) AS cleaned_text FROM hits WHERE place <= 20"""
     sql["branch_performance"] = f"""WITH {_monthly()},
 asked AS (SELECT unnest(['nation_3', 'nation_1', 'nowhere']) AS branch_id)
 SELECT a.branch_id, b.branch_name, '1997-05' AS period, m.month IS NOT NULL AS observed,
