@@ -19,17 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reviewloom.llm.common import by_place, mixed
+from reviewloom.llm.common import by_place, give_back, mixed
 
 LEAST = 50
 #: Bytes of a k-gram that may be an anchor.
 GRAM = 20
 #: Text bytes of a part (documents that are cut up together), and buckets for each part.
-PART_BYTES, BUCKETS_PER_PART = 12 << 20, 4
+PART_BYTES, BUCKETS_PER_PART = 8 << 20, 3
 #: Contents of an anchor (each once for a part) up to which one bucket holds them; beyond, its windows are dealt one by one.
 ANCHOR_CONTENTS = 10_000
 #: Bytes that one numpy step works on.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 #: Windows of a segment at most; a longer run with one anchor is several. Hashes are polynomials modulo 2^64,
 #: which only strings of over a thousand bytes can defeat by their form.
 SEGMENT_WINDOWS = 64
@@ -208,6 +208,7 @@ def _texts(table: pa.Table):
                 offsets = np.concatenate([[0], np.cumsum(sizes[a:b])])
                 data = np.frombuffer(b"".join(raw.slice(a, b - a).to_pylist()), np.uint8)
                 yield np.asarray(ids)[a:b], data, offsets
+    give_back()
 
 
 def to_planes(values: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
@@ -414,6 +415,7 @@ def _matched(table: pa.Table) -> pa.Table:
     at[order] = np.repeat(np.arange(len(group)), np.diff(np.append(group, len(key))))
     wanted = np.flatnonzero(np.asarray(table.column("many")) | (lowest[at] < doc))
     lists = pa.array(values, pa.list_(pa.int64())).take(pa.array(at[wanted]))
+    give_back()
     return pa.table([table.column("part").take(pa.array(wanted)), table.column("key").take(pa.array(wanted)), lists, table.column("anchor").take(pa.array(wanted))], schema=ANSWERS)
 
 
