@@ -33,7 +33,7 @@ from reviewloom.operators import (
     topics,
 )
 from reviewloom.operators.preprocess import preprocess
-from reviewloom.plans.evidence import evidence
+from reviewloom.plans.evidence import evidence, scope_evidence, shared_scopes
 from reviewloom.session import ensure_checkpoint_dir, prepare
 from reviewloom.sources import driver_tables as views
 from reviewloom.sources import json_arrays, raw_json
@@ -81,6 +81,11 @@ def _reviews(spark, folder, level="nation"):
     return views.review_view(spark, folder, level)
 
 
+def _ratings(spark, folder):
+    """Reviews without their texts."""
+    return views.review_view(spark, folder, texts=False)
+
+
 def _clean(spark, folder, level="nation"):
     return preprocess(_reviews(spark, folder, level))
 
@@ -113,6 +118,13 @@ def _rule_alerts(features):
     )
 
 
+def _flagged_by_count(features):
+    """Eligible months where the number of reviews stands in for the model's flag and score."""
+    months = anomalies.eligible_months(features)
+    flag, score = F.col("review_count") % 3 == 0, -(F.col("review_count") % 5) / 8
+    return anomalies.with_alerts(months.withColumns({"is_anomaly": flag, "anomaly_score": score}))
+
+
 def _language_number():
     """A topic number per language."""
     return F.ascii("lang") * 256 + F.ascii(F.substring("lang", 2, 1))
@@ -357,24 +369,24 @@ def monthly_features(spark, folder):
 
 @query
 def distinct_branches(spark, folder):
-    return dashboard.distinct_values(_reviews(spark, folder), "branch_id")
+    return dashboard.distinct_values(_ratings(spark, folder), "branch_id")
 
 
 @query
 def distinct_months(spark, folder):
-    return dashboard.distinct_months(_reviews(spark, folder))
+    return dashboard.distinct_months(_ratings(spark, folder))
 
 
 @query
 def scope_kpis(spark, folder):
-    scoped = dashboard.in_scope(_reviews(spark, folder), BRANCHES, FIRST_MONTH, LAST_MONTH)
+    scoped = dashboard.in_scope(_ratings(spark, folder), BRANCHES, FIRST_MONTH, LAST_MONTH)
     kpis = dashboard.scope_kpis(scoped)
     return kpis.withColumn("negative_ratio_pct", F.round("negative_ratio_pct", 4))
 
 
 @query
 def rating_buckets(spark, folder):
-    return dashboard.rating_buckets(_reviews(spark, folder))
+    return dashboard.rating_buckets(_ratings(spark, folder))
 
 
 @query
@@ -424,14 +436,15 @@ def positive_word_frequencies(spark, folder):
 
 @query
 def recent_negative_reviews(spark, folder):
-    return dashboard.recent_negative_reviews(_reviews(spark, folder)).select(
+    latest = dashboard.recent_negative_reviews(_ratings(spark, folder))
+    return views.with_texts(latest, spark, folder).select(
         "review_id", "branch_id", _date("review_date"), "rating", "review_text"
     )
 
 
 @query
 def review_examples(spark, folder):
-    return dashboard.review_examples(_reviews(spark, folder)).select(
+    return views.with_texts(dashboard.review_examples(_ratings(spark, folder)), spark, folder).select(
         "review_id", "branch_name", "rating", "review_text"
     )
 
@@ -532,6 +545,30 @@ def alert_kpis(spark, folder):
     return dashboard.alert_kpis(_rule_alerts(_features(spark, folder)))
 
 
+@query
+def alert_severities(spark, folder):
+    """Reasons and severity with a flag besides the rules: all three severities occur."""
+    found = _flagged_by_count(_features(spark, folder))
+    reasons = F.array_join("alert_reasons", ",").alias("alert_reasons")
+    return found.select("branch_id", "month", "is_anomaly", reasons, "alert_severity")
+
+
+@query
+def most_unusual_months(spark, folder):
+    """The ten most unusual flagged months."""
+    found = lookups.flagged_months(_flagged_by_count(_features(spark, folder)))
+    return found.select("branch_id", "month", "anomaly_score", "review_count").limit(10)
+
+
+@query
+def theme_titles(spark, folder):
+    """Numbers and titles of topics, with languages and their sources as topics and terms."""
+    spoken = views.table(spark, folder, "documents").where(F.col("lang").isNotNull()).groupBy("lang")
+    topics_table = spoken.agg(F.array_sort(F.collect_set("source")).alias("top_terms"))
+    found = topics_table.select(_language_number().alias("topic_id"), "top_terms")
+    return dashboard.theme_titles(found, 3).select("topic_id", "theme_number", "title")
+
+
 @query
 def alerts_by_severity(spark, folder):
     return dashboard.alerts_by_severity(_rule_alerts(_features(spark, folder))).select(
@@ -713,9 +750,8 @@ def route_questions(spark, folder):
     return routed.withColumn("branch_ids", F.array_join("branch_ids", ","))
 
 
-@query
-def question_evidence(spark, folder):
-    """Evidence per question, reduced to checkable columns."""
+def _evidence_inputs(spark, folder):
+    """Routed questions and the result tables, stored as in a batch run."""
     reviews, aspects = _scored(spark, folder)
     by_month = summaries.monthly_features(reviews).checkpoint()
     tables = {
@@ -730,10 +766,15 @@ def question_evidence(spark, folder):
         ).select(_language_number().alias("topic_id"), F.array("lang").alias("top_terms")),
         "association_rules": mining.mine_rules(reviews, aspects),
     }
-    # Stored tables in a batch run.
     tables = {name: df.checkpoint() for name, df in tables.items()}
     routed = routing.route_questions(_questions(spark, folder), _branch_list(spark, folder)).checkpoint()
-    found = evidence(routed, tables)
+    return routed, tables
+
+
+@query
+def question_evidence(spark, folder):
+    """Evidence per question, reduced to checkable columns."""
+    found = evidence(*_evidence_inputs(spark, folder))
     observed = F.filter("branches", lambda b: b["observed"])
     return found.select(
         "question_id",
@@ -763,6 +804,58 @@ def question_evidence(spark, folder):
     )
 
 
+@query
+def question_scopes(spark, folder):
+    """Questions with the number of those that share their scope."""
+    routed = routing.route_questions(_questions(spark, folder), _branch_list(spark, folder))
+    asked, scopes = shared_scopes(routed)
+    sizes = asked.groupBy("scope_key").agg(F.count("*").alias("questions"))
+    listed = scopes.select("scope_key", F.array_join("branch_ids", ",").alias("branch_ids"))
+    found = asked.join(sizes, "scope_key").join(listed, "scope_key")
+    return found.select("question_id", "scope", "period", "questions", "branch_ids")
+
+
+def _scope_bundles(spark, folder):
+    """One row per scope and branch with its bundle; comparisons also ask about a branch without reviews."""
+    routed, tables = _evidence_inputs(spark, folder)
+    more = F.array_append("branch_ids", F.lit("never_opened"))
+    asked = routed.withColumn("branch_ids", F.when(F.col("scope") == "comparison", more).otherwise(F.col("branch_ids")))
+    bundles = scope_evidence(shared_scopes(asked)[1], tables)
+    return bundles.select("scope", "period", F.explode("branches").alias("b"))
+
+
+@query
+def scope_branches(spark, folder):
+    """Contents of the evidence: summary, requested month, trend and alerts of each branch."""
+
+    def listed(column, show):
+        return F.coalesce(F.array_join(F.transform(column, show), ","), F.lit(""))
+
+    return _scope_bundles(spark, folder).select(
+        "scope",
+        "period",
+        "b.branch_id",
+        "b.branch_name",
+        "b.observed",
+        F.col("b.branch_summary.review_count").alias("review_count"),
+        F.col("b.period_summary.is_observed").alias("month_observed"),
+        F.col("b.period_summary.row.review_count").alias("month_reviews"),
+        listed("b.sentiment_trend", lambda m: F.concat_ws("=", m["month"], m["review_count"])).alias("trend"),
+        listed("b.anomalies", lambda m: F.concat_ws("=", m["month"], m["alert_severity"])).alias("alerts"),
+    )
+
+
+@query
+def scope_aspects(spark, folder):
+    """Contents of the evidence: aspects of each branch in the order they are shown."""
+    ranked = _scope_bundles(spark, folder).select(
+        "scope", "period", "b.branch_id", F.posexplode("b.aspect_sentiment").alias("place", "a")
+    )
+    return ranked.select(
+        "scope", "period", "branch_id", "place", "a.aspect", "a.mention_count", "a.average_sentiment_score"
+    )
+
+
 # -- term matrix and models --------------------------------------------------
 
 TERMS = features.TermSettings(stopwords=("the", "and", "of", "der", "die", "la", "le"))

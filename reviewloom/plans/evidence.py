@@ -17,23 +17,27 @@ def _rows(table: DataFrame) -> Column:
     return F.struct(*(F.col(c) for c in table.columns if c != "branch_id"))
 
 
-def _list_per_branch(table: DataFrame, order: str, name: str) -> DataFrame:
+def _list_per_branch(table: DataFrame, order: Column, name: str) -> DataFrame:
     # Result tables only: a branch has one row per month or per aspect here.
-    ordered = F.struct(F.col(order).alias("_order"), _rows(table).alias("row"))
+    ordered = F.struct(order.alias("_order"), _rows(table).alias("row"))
     return table.groupBy("branch_id").agg(
         F.transform(F.array_sort(F.collect_list(ordered)), lambda r: r["row"]).alias(name)
     )
 
 
 def branch_evidence(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per branch with its summary, trend, aspects, alerts and forecast nested."""
+    """One row per branch with its summary, trend, aspects, alerts and forecast nested.
+
+    Months are in order; aspects come by falling number of mentions, then by name.
+    """
     summary = tables["branch_summary"]
     flagged = tables["anomalies"].where("is_anomaly")
+    mentions = F.struct(-F.col("mention_count"), F.col("aspect"))
     base = summary.select("branch_id", F.struct(*summary.columns).alias("branch_summary"))
     parts = [
-        _list_per_branch(tables["monthly_summary"], "month", "sentiment_trend"),
-        _list_per_branch(aspect_sentiment(tables["review_aspects"]), "aspect", "aspect_sentiment"),
-        _list_per_branch(flagged, "month", "anomalies"),
+        _list_per_branch(tables["monthly_summary"], F.col("month"), "sentiment_trend"),
+        _list_per_branch(aspect_sentiment(tables["review_aspects"]), mentions, "aspect_sentiment"),
+        _list_per_branch(flagged, F.col("month"), "anomalies"),
         tables["branch_forecasts"].select("branch_id", _rows(tables["branch_forecasts"]).alias("forecast")),
     ]
     for part in parts:
@@ -110,3 +114,24 @@ def evidence(routed: DataFrame, tables: Mapping[str, DataFrame], key: str = "que
         .withColumns(brand_evidence(tables))
         .withColumn("brand_alert_count", F.when(F.col("scope") == "brand", flagged))
     )
+
+
+def scope_key(branch_ids: Column, period: Column) -> Column:
+    """Digest of the branches asked about, in any order, and the month."""
+    return F.sha2(F.to_json(F.struct(F.array_sort(branch_ids).alias("branch_ids"), period.alias("period"))), 256)
+
+
+def shared_scopes(routed: DataFrame, key: str = "question_id") -> tuple[DataFrame, DataFrame]:
+    """Questions that carry the key of what they ask about, and each such scope once.
+
+    However many questions compare all branches, the list of branches is held once for a month:
+    (question, scope, scope_key, ...) and (scope_key, scope, period, branch_ids).
+    """
+    keyed = routed.withColumn("scope_key", scope_key(F.col("branch_ids"), F.col("period")))
+    scopes = keyed.select("scope_key", "scope", "period", "branch_ids").dropDuplicates(["scope_key"])
+    return keyed.drop("branch_ids"), scopes
+
+
+def scope_evidence(scopes: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The evidence of each scope, once; questions find theirs by ``scope_key``."""
+    return evidence(scopes, tables, key="scope_key")

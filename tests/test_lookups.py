@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions import labels
 from reviewloom.functions.values import shift_month, to_number
 from reviewloom.operators import lookups, routing
-from reviewloom.plans.evidence import brand_alerts, evidence
+from reviewloom.plans.evidence import brand_alerts, evidence, scope_evidence, scope_key, shared_scopes
 from reviewloom.schemas import table_schema
 from reviewloom.sources import tables
 
@@ -153,6 +153,41 @@ def test_evidence_by_scope(spark, branches, monthly, rows):
     assert brand["brand_summary"]["record_count"] == 15
 
 
+def test_scopes_are_held_once(spark, branches, monthly, rows):
+    asked = questions(spark, "Lakeside in July 2026", "compare 2017-01", "LAKESIDE 2026-07!", "compare all 2017/01", "overall?")
+    routed = routing.route_questions(asked, branches)
+    tables = result_tables(spark, monthly)
+    keyed, scopes = shared_scopes(routed)
+    assert "branch_ids" not in keyed.columns and scopes.count() == 3
+    bundles = {r.pop("scope_key"): r for r in rows(scope_evidence(scopes, tables))}
+    alone = {r["question_id"]: r for r in rows(evidence(routed, tables))}
+    for question in rows(keyed):
+        own, shared = alone[question["question_id"]], bundles[question["scope_key"]]
+        assert all(own[name] == value for name, value in shared.items())
+
+
+def test_scope_keys_don_t_depend_on_order(spark):
+    df = spark.createDataFrame(
+        [(["b", "a"], "2026-01"), (["a", "b"], "2026-01"), (["a,b"], "2026-01"), (["a", "b"], None), ([], None)],
+        "ids array<string>, period string",
+    )
+    first, second, *others = [r[0] for r in df.select(scope_key(F.col("ids"), F.col("period"))).collect()]
+    assert first == second and len({first, *others}) == 4
+
+
+def test_aspects_of_a_branch_come_by_mentions(spark, branches, monthly, rows):
+    tables = result_tables(spark, monthly)
+    when = dt.datetime(2026, 7, 1)
+    mentions = [("food", 1), ("service", 3), ("ambience", 1)]
+    tables["review_aspects"] = spark.createDataFrame(
+        [("r", "lake_side", when, a, "w", "Negative", -0.5, "m", "s") for a, n in mentions for _ in range(n)],
+        table_schema("review_aspects"),
+    )
+    routed = routing.route_questions(questions(spark, "Lakeside"), branches)
+    (one,) = rows(evidence(routed, tables))
+    assert [a["aspect"] for a in one["branches"][0]["aspect_sentiment"]] == ["service", "ambience", "food"]
+
+
 def test_business_frame(spark, rows):
     data = [("Banyan hills", "banyan_hills", "2026-08", 25)]
     df = spark.createDataFrame(data, "branch_name string, branch_id string, month string, review_count int")
