@@ -116,10 +116,10 @@ def test_digest_of_a_file_above_two_gigabytes(spark, tmp_path):
 
 def test_manifest_as_tables(spark, tmp_path, rows):
     for i in range(3):
-        (tmp_path / f"part {i}.json").write_text("x" * i)
+        (tmp_path / f"part {i}.json").write_text("x" * (i + 1))
     source = ReviewSource(str(tmp_path), "b", "B")
     reviews = spark.createDataFrame([("b", "part 1.json"), ("b", None)], "branch_id string, raw_source_file string")
     found = manifest.manifest_tables(spark, [source], reviews)
     files = sorted(rows(found["source_files"]), key=lambda r: r["file_name"])
-    assert [(f["file_name"], f["size_bytes"], f["branch_id"]) for f in files] == [(f"part {i}.json", i, "b") for i in range(3)]
+    assert [(f["file_name"], f["size_bytes"], f["branch_id"]) for f in files] == [(f"part {i}.json", i + 1, "b") for i in range(3)]
     assert found["records_by_branch"].count() == 1 and found["records_by_source_file"].count() == 2
