@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,8 @@ from reviewloom.session import ensure_checkpoint_dir
 
 #: Sets of a basket that are counted without pruning between lengths.
 SUBSETS = 500
+#: Baskets of one block, a bit each in the rows of its items; candidates of one step over a block, on average.
+BLOCK_BASKETS, STEP_CANDIDATES = 4096, 4096
 
 
 def _aspect_items(aspects: DataFrame) -> DataFrame:
@@ -67,19 +72,18 @@ def baskets(reviews_nlp: DataFrame, aspects: DataFrame) -> DataFrame:
 
 
 def _pruned(distinct_baskets: DataFrame, total: Column, min_support: float) -> DataFrame:
-    """Baskets with their frequent items only: (kept, n)."""
-    single = (
-        distinct_baskets.select(F.explode("items").alias("item"), "n")
-        .groupBy("item")
-        .agg(F.sum("n").alias("occurrences"))
-        .where(F.col("occurrences") / total >= min_support)
-    )
+    """Baskets with their frequent items only, equal ones as one: (kept, n).
+
+    Items leave their basket with its number, never with the basket itself.
+    """
+    items = distinct_baskets.select("basket", "n", F.explode("items").alias("item"))
+    single = items.groupBy("item").agg(F.sum("n").alias("occurrences")).where(F.col("occurrences") / total >= min_support)
     return (
-        distinct_baskets.select("items", "n", F.explode("items").alias("item"))
-        .join(single, "item", "left_semi")
-        .groupBy("items", "n")
+        items.join(single, "item", "left_semi")
+        .groupBy("basket", "n")
         .agg(F.array_sort(F.collect_list("item")).alias("kept"))
-        .select("kept", "n")
+        .groupBy("kept")
+        .agg(F.sum("n").alias("n"))
     )
 
 
@@ -122,32 +126,85 @@ def candidate_sets(frequent: DataFrame, size: int) -> DataFrame:
     return made.groupBy("itemset").agg(F.collect_list("next").alias("lasts"))
 
 
+def _block(kept: list[list[str]], counts: list[int]) -> pa.RecordBatch:
+    """Baskets as bits: one row of bits for each item, and one for each binary digit of their numbers of reviews."""
+    names = sorted({item for basket in kept for item in basket})
+    place = {item: i for i, item in enumerate(names)}
+    held = np.zeros((len(names), len(kept)), bool)
+    for column, basket in enumerate(kept):
+        held[[place[item] for item in basket], column] = True
+    numbers = np.array(counts, np.int64)
+    digits = numbers >> np.arange(int(numbers.max()).bit_length())[:, None] & 1
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([names], pa.list_(pa.string())),
+            pa.array([np.packbits(held, axis=1).tobytes()], pa.binary()),
+            pa.array([np.packbits(digits.astype(bool), axis=1).tobytes()], pa.binary()),
+            pa.array([len(kept)], pa.int32()),
+        ],
+        ["names", "held", "digits", "baskets"],
+    )
+
+
+def _blocks(pruned: DataFrame) -> DataFrame:
+    """Baskets in blocks of bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, BLOCK_BASKETS):
+                part = batch.slice(first, BLOCK_BASKETS)
+                yield _block(part["kept"].to_pylist(), part["n"].to_pylist())
+
+    return pruned.select("kept", "n").mapInArrow(run, "names array<string>, held binary, digits binary, baskets int")
+
+
+def _occurrences(blocks: DataFrame, grown: DataFrame) -> DataFrame:
+    """(itemset, occurrences) of the sets that ``grown`` makes: (itemset, lasts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1).to_pylist()[0]
+                place, width = {item: i for i, item in enumerate(one["names"])}, -(-one["baskets"] // 8)
+                held = np.frombuffer(one["held"], np.uint8).reshape(-1, width)
+                digits = np.frombuffer(one["digits"], np.uint8).reshape(-1, width)
+                itemsets, occurrences = [], []
+                for candidate in one["step"]:
+                    lasts = [item for item in candidate["lasts"] if item in place]
+                    if not lasts or not all(item in place for item in candidate["itemset"]):
+                        continue
+                    stem = np.bitwise_and.reduce(held[[place[item] for item in candidate["itemset"]]], axis=0)
+                    found = held[[place[item] for item in lasts]] & stem
+                    times = sum(np.bitwise_count(found & digit).sum(axis=1, dtype=np.int64) << k for k, digit in enumerate(digits))
+                    itemsets += [[*candidate["itemset"], item] for item, n in zip(lasts, times) if n]
+                    occurrences += [int(n) for n in times if n]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(itemsets, pa.list_(pa.string())), pa.array(occurrences, pa.int64())], ["itemset", "occurrences"]
+                )
+
+    steps = -(-grown.count() // STEP_CANDIDATES)
+    step = F.pmod(F.xxhash64("itemset"), F.lit(max(steps, 1)))
+    dealt = grown.groupBy(step.alias("number")).agg(F.collect_list(F.struct("itemset", "lasts")).alias("step"))
+    counted = blocks.crossJoin(dealt.select("step")).mapInArrow(run, "itemset array<string>, occurrences bigint")
+    return counted.groupBy("itemset").agg(F.sum("occurrences").alias("occurrences"))
+
+
 def _level_wise(pruned: DataFrame, total: Column, min_support: float, max_len: int) -> DataFrame:
     """Frequent sets, one length after another: (itemset, occurrences).
 
-    A row is a set in a basket with the basket's items behind it. It grows only by items that make
-    a candidate, and only rows of frequent sets go on, so a basket gives as many rows as it has
-    frequent sets and not as it has subsets. Pairs come from the baskets themselves: all pairs of
-    frequent items are candidates.
+    Baskets are stored once, as bits. Each length is counted on them, candidate by candidate: what
+    is written are candidates and their counts, never a row for a set in a basket.
     """
-    behind = F.slice("kept", F.col("at") + 2, F.size("kept"))
-    rows = pruned.select("kept", "n", F.posexplode("kept").alias("at", "item")).select(F.array("item").alias("itemset"), behind.alias("rest"), "n").checkpoint()
+    single = pruned.select(F.explode("kept").alias("item"), "n").groupBy(F.array("item").alias("itemset"))
+    counted = single.agg(F.sum("n").alias("occurrences"))
+    blocks = _blocks(pruned).checkpoint() if max_len > 1 else None
     found = []
     for size in range(1, max_len + 1):
-        counted = rows.groupBy("itemset").agg(F.sum("n").alias("occurrences"))
         frequent = counted.where(F.col("occurrences") / total >= min_support).checkpoint()
         found.append(frequent)
         if size == max_len or frequent.isEmpty():
             break
-        open_ = rows.where(F.size("rest") > 0).join(frequent.select("itemset"), "itemset", "left_semi")
-        if size == 1:
-            grown = open_.select("itemset", "n", "rest", F.explode("rest").alias("item"))
-        else:
-            nexts = candidate_sets(frequent, size)
-            grown = open_.join(nexts, "itemset").select("itemset", "n", "rest", F.explode(F.array_intersect("rest", "lasts")).alias("item"))
-        # Both arrays are in order of their bytes, so what is greater than the item lies behind it.
-        rest = F.filter("rest", lambda x: x > F.col("item"))
-        rows = grown.select(F.array_append("itemset", F.col("item")).alias("itemset"), rest.alias("rest"), "n").checkpoint()
+        counted = _occurrences(blocks, candidate_sets(frequent, size).checkpoint())
     result = found[0]
     for more in found[1:]:
         result = result.unionByName(more)
@@ -164,13 +221,14 @@ def frequent_itemsets(distinct_baskets: DataFrame, min_support: float = 0.01, ma
 
     Works on distinct baskets, whose number depends on the vocabulary and not on the
     reviews. Infrequent single items are removed first. Where no basket has more than
-    ``SUBSETS`` sets, all are counted in one go; wider baskets go level by level, where only
-    frequent sets grow. Both count the same.
+    ``SUBSETS`` sets, all are counted in one go; wider baskets become blocks of bits, on which
+    candidates are counted level by level. Both count the same.
     """
-    total = distinct_baskets.agg(F.sum("n")).scalar()
-    pruned = _pruned(distinct_baskets, total, min_support)
     ensure_checkpoint_dir(distinct_baskets.sparkSession)
-    pruned = pruned.checkpoint()
+    # Numbers hold only for stored rows.
+    numbered = distinct_baskets.withColumn("basket", F.monotonically_increasing_id()).checkpoint()
+    total = numbered.agg(F.sum("n")).scalar()
+    pruned = _pruned(numbered, total, min_support).checkpoint()
     width = pruned.agg(F.max(F.size("kept"))).first()[0] or 0
     if subsets_of(width, max_len) <= SUBSETS:
         counted = _all_subsets(pruned, max_len).groupBy("itemset").agg(F.sum("n").alias("occurrences"))

@@ -3,6 +3,7 @@ from itertools import combinations
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from reviewloom.functions.rows import join_with_hot_keys
 from reviewloom.operators import mining
@@ -136,3 +137,27 @@ def test_candidates_need_all_their_subsets(spark):
     frequent = spark.createDataFrame([(list(s),) for s in ("ab", "ac", "bc", "bd", "cd", "xy")], "itemset array<string>")
     found = {tuple(r.itemset): r.lasts for r in mining.candidate_sets(frequent, 2).collect()}
     assert found == {("a", "b"): ["c"], ("b", "c"): ["d"]}
+
+
+def test_levels_write_counts_and_not_sets_of_baskets(spark, tmp_path, rows):
+    """17 items in nearly all of 3,000 texts: 9,401 sets, 26 million pairs of a text and a set."""
+    import random
+
+    from reviewloom.session import ensure_checkpoint_dir
+
+    rng = random.Random(3)
+    common = [f"c{i:02}" for i in range(17)]
+    plain = [[*(c for c in common if rng.random() < 0.98), f"r{i}"] for i in range(3_000)]
+    ensure_checkpoint_dir(spark)
+    before = spark.sparkContext.getCheckpointDir()
+    kept = spark.createDataFrame([(b[:-1], 1) for b in plain], "kept array<string>, n long").repartition(3)
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        found = mining._level_wise(kept, F.lit(3_000), 0.45, 5)
+        written = sum(p.stat().st_size for p in tmp_path.rglob("part-*"))
+        counts = {tuple(r["itemset"]): r["occurrences"] for r in rows(found)}
+    finally:
+        spark.sparkContext.setCheckpointDir(before)
+    assert len(counts) == mining.subsets_of(17, 5) and written < 4_000_000
+    some = [("c00",), ("c01", "c05"), ("c02", "c03", "c16"), tuple(common[3:8])]
+    assert [counts[s] for s in some] == [sum(set(s) <= set(b) for b in plain) for s in some]
