@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.functions.rows import unnest
 from reviewloom.functions.text import snippet
 from reviewloom.operators.lookups import SEARCH_COLUMNS, of_branch, search_feedback
+from reviewloom.session import ensure_checkpoint_dir
 
 GRAM = 3
 #: Bits of a text's number within its block; a posting list covers one block, so it is never long.
 BLOCK_BITS = 12
 #: Folders of posting lists; a search opens those of its trigrams only.
 SHELVES = 256
+#: Characters whose trigrams are sorted at a time (or one text).
+RUN_CHARACTERS = 4_000_000
+#: Files of a folder; a list's file follows from its trigram and block, so that no folder is one task.
+SHELF_PARTS = 4
 #: Candidates that are verified in the first step of a search; each further step takes twice as many, up to the most.
 FIRST_STEP, MOST_STEP = 256, 16_384
 
@@ -29,15 +37,70 @@ class SearchIndex:
     postings: DataFrame
 
 
-def _gram_rows(texts: DataFrame) -> DataFrame:
-    """(gram, block, place): distinct trigrams of each text by code points.
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str], np.ndarray]]:
+    """Neighbouring texts of one block and at most ``RUN_CHARACTERS``: block, texts, places."""
+    texts, places = batch["text"].to_pylist(), batch["place"].to_numpy()
+    blocks = batch["block"].to_numpy()
+    first, characters = 0, 0
+    for at, text in enumerate(texts):
+        if at > first and (blocks[at] != blocks[first] or characters + len(text) > RUN_CHARACTERS):
+            yield int(blocks[first]), texts[first:at], places[first:at]
+            first, characters = at, 0
+        characters += len(text)
+    if texts:
+        yield int(blocks[first]), texts[first:], places[first:]
 
-    Letters and trigrams are arrays of the text's length; the letters are a column of their own, since
-    an expression inside the lambda would be computed again for each trigram.
+
+def _run_lists(block: int, texts: list[str], places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Posting lists of a few texts of a block, by trigrams of code points.
+
+    A trigram and its text are one number: the ranks of three letters among those of the run, then
+    the text's. Texts with too many letters for that are taken in halves; one text always fits.
     """
-    spelled = texts.select("block", "place", F.length("text").alias("size"), F.split("text", "").alias("letters"))
-    parts = F.transform(F.sequence(F.lit(0), F.col("size") - GRAM), lambda i: F.concat(*(F.get("letters", i + k) for k in range(GRAM))))
-    return unnest(spelled.where(F.col("size") >= GRAM), F.array_distinct(parts), "gram", "block", "place")
+    lengths = np.array([len(text) for text in texts])
+    letters = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    seen = np.zeros(0x110000, bool)
+    seen[letters] = True
+    alphabet = np.flatnonzero(seen)
+    width, owner = max(len(alphabet) - 1, 0).bit_length(), (len(texts) - 1).bit_length()
+    if 3 * width + owner > 63:
+        half = len(texts) // 2
+        yield from _run_lists(block, texts[:half], places[:half])
+        yield from _run_lists(block, texts[half:], places[half:])
+        return
+    ranks = (np.cumsum(seen) - 1)[letters]
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(letters))
+    at = np.flatnonzero(left >= GRAM)
+    grams = (ranks[at] << width | ranks[at + 1]) << width | ranks[at + 2]
+    keys = np.sort(grams << owner | np.repeat(np.arange(len(texts)), lengths)[at])
+    kept = np.ones(len(keys), bool)
+    kept[1:] = keys[1:] != keys[:-1]
+    keys = keys[kept]
+    grams, found = keys >> owner, places[keys & ((1 << owner) - 1)]
+    first = np.ones(len(keys), bool)
+    first[1:] = grams[1:] != grams[:-1]
+    starts, codes, last = np.flatnonzero(first), grams[first], (1 << width) - 1
+    spelled = alphabet[np.column_stack([codes >> 2 * width, codes >> width & last, codes & last])] if len(codes) else alphabet[:0]
+    names = spelled.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([names[i : i + GRAM] for i in range(0, len(names), GRAM)], pa.string()),
+            pa.array(np.full(len(codes), block), pa.int64()),
+            pa.ListArray.from_arrays(pa.array(np.append(starts, len(keys)), pa.int32()), pa.array(found, pa.int32())),
+        ],
+        ["gram", "block", "places"],
+    )
+
+
+def _gram_lists(texts: DataFrame) -> DataFrame:
+    """(gram, block, places): lists of neighbouring texts, so a text's trigrams are no rows of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, few, places in _runs(batch):
+                yield from _run_lists(block, few, places)
+
+    return texts.select("block", "place", "text").mapInArrow(run, "gram string, block long, places array<int>")
 
 
 def shelf(gram: Column) -> Column:
@@ -53,7 +116,9 @@ def build_search_index(reviews: DataFrame, path: str) -> SearchIndex:
     the texts of one block of 4,096 that have a trigram, so a trigram of all texts is many short lists.
     """
     spark = reviews.sparkSession
-    kept = reviews.select(*SEARCH_COLUMNS).where(F.col("cleaned_text").isNotNull())
+    ensure_checkpoint_dir(spark)
+    # The range sort reads its input twice, so the texts are fixed first.
+    kept = reviews.select(*SEARCH_COLUMNS).where(F.col("cleaned_text").isNotNull()).checkpoint()
     ordered = kept.repartitionByRange(F.asc_nulls_first("review_id")).sortWithinPartitions(F.asc_nulls_first("review_id"))
     ordered.select(F.monotonically_increasing_id().alias("text_no"), "*").write.mode("overwrite").parquet(f"{path}/texts")
     texts = spark.read.parquet(f"{path}/texts")
@@ -62,9 +127,12 @@ def build_search_index(reviews: DataFrame, path: str) -> SearchIndex:
         F.col("text_no").bitwiseAND((1 << BLOCK_BITS) - 1).cast("int").alias("place"),
         F.lower("cleaned_text").alias("text"),
     )
-    lists = _gram_rows(located).groupBy("gram", "block").agg(F.sort_array(F.collect_list("place")).alias("places"))
-    order = ("shelf", "gram", "block")
-    shelved = lists.withColumn("shelf", shelf(F.col("gram"))).repartitionByRange(*order).sortWithinPartitions(*order)
+    key = ("shelf", "part", "gram", "block")
+    part = F.pmod(F.xxhash64("gram", "block"), F.lit(SHELF_PARTS))
+    dealt = _gram_lists(located).withColumns({"shelf": shelf(F.col("gram")), "part": part}).repartition("shelf", "part")
+    # All lists of a trigram and block are in one place: no further shuffle.
+    lists = dealt.groupBy(*key).agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("places"))
+    shelved = lists.select("gram", "block", "places", "shelf").sortWithinPartitions("shelf", "gram", "block")
     shelved.write.mode("overwrite").partitionBy("shelf").parquet(f"{path}/postings")
     return open_search_index(spark, path)
 

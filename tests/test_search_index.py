@@ -62,3 +62,23 @@ def test_index_of_no_texts(spark, tmp_path):
     assert search_index.search(index, "food").collect() == []
     again = search_index.open_search_index(spark, str(tmp_path / "none"))
     assert search_index.search(again, "fo").collect() == []
+
+
+def test_lists_and_not_trigrams_travel(spark, monkeypatch):
+    """600 texts of one line have 600 lists' worth of places, but a row for each trigram of a run only."""
+    texts = spark.createDataFrame([(i // 400, i % 400, "späte 😀😁 " * 3 + "ab"[i % 2]) for i in range(600)], "block long, place int, text string").coalesce(1)
+    lists = search_index._gram_lists(texts).collect()
+    assert len({(r.gram, r.block) for r in lists}) == len(lists) == 2 * 11
+    assert next(r.places for r in lists if (r.gram, r.block) == ("e 😀", 1)) == list(range(200))
+    monkeypatch.setattr(search_index, "RUN_CHARACTERS", 100)
+    cut = search_index._gram_lists(texts.select("block", "place", "text")).collect()
+    join = lambda rows: sorted((r.gram, r.block, p) for r in rows for p in r.places)
+    assert join(cut) == join(lists) and len(cut) > len(lists)
+
+
+def test_texts_with_many_letters_are_taken_in_halves():
+    texts = ["".join(map(chr, range(0x10000 + k, 0x10000 + 150_000, 1 + k % 3))) for k in range(5)] + ["", "ab", "aabaab"]
+    lists = [r for b in search_index._run_lists(7, texts, search_index.np.arange(8) * 2) for r in b.to_pylist()]
+    expected = {(t[i : i + 3], 2 * k) for k, t in enumerate(texts) for i in range(len(t) - 2)}
+    assert {(r["gram"], p) for r in lists for p in r["places"]} == expected
+    assert sum(len(r["places"]) for r in lists) == len(expected) and {r["block"] for r in lists} == {7}
