@@ -27,7 +27,8 @@ class Rule:
 def default_rules() -> list[Rule]:
     """Rules that spare ordinary prose: each bounds a share that markup, tables and shouting exceed."""
     chars = F.greatest(F.col("word_chars"), F.lit(1))
-    letters = F.length(F.regexp_replace("text", r"[^\p{L}]+", ""))
+    # Without spaces a word joins the next one, and there are fewer places to replace.
+    letters = F.length(F.regexp_replace(F.replace("text", F.lit(" "), F.lit("")), r"[^\p{L}]+", ""))
     capitals = F.length(F.regexp_replace("text", r"[^\p{Lu}]+", ""))
     return [
         Rule("symbols", F.col("n_symbols") * 10 > F.col("n_words")),
@@ -42,10 +43,11 @@ def word_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Text, words, lines with a word and the hash of each five-word window."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    trimmed = F.btrim("text", F.lit(SPACE))
-    words = plain.withColumn(
-        "words", F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
-    ).withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != ""))
+    # All white space becomes single blanks to split at, which needs no regular expression.
+    blanks = F.col("text")
+    for character in SPACE.replace(" ", ""):
+        blanks = F.replace(blanks, F.lit(character), F.lit(" "))
+    words = plain.withColumn("words", F.array_remove(F.split(blanks, " "), "")).withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != ""))
     hashed = words.withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
     # Hashes of 2, 4 and 5 words in a row; zip_with fills the longer side up with null, which is cut off.
     pair = lambda a, b, seed: F.zip_with(a, b, lambda x, y: F.xxhash64(x, y, F.lit(seed)))
@@ -58,51 +60,49 @@ def word_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ).drop("h5")
 
 
-def repeated_words(windows: str) -> Column:
-    """Words inside a window that occurs at least twice; ``windows`` has the hash at each place.
+def with_repeated_words(words: DataFrame, windows: str, name: str) -> DataFrame:
+    """Adds the number of words inside a window that occurs at least twice; ``windows`` has the hash at each place.
 
     Only texts in which a hash repeats are sorted. Places with an equal neighbour in hash order
     are the repeated windows; in place order each covers up to the next one, five words at most.
+    The order is a column of its own, since it would be computed again wherever it is named.
     """
     hashes = F.col(windows)
-    sorted_ = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    beside = F.zip_with(
-        sorted_,
-        F.concat(F.slice(sorted_, 2, F.size(sorted_)), F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(None).cast("int").alias("i")))),
-        lambda a, b: F.struct(a["h"].alias("h"), a["i"].alias("i"), F.coalesce(a["h"] == b["h"], F.lit(False)).alias("same")),
-    )
+    repeats = F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), hashes).otherwise(F.array().cast("array<bigint>"))
+    ordered = words.withColumn("_ordered", F.sort_array(F.transform(repeats, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
     # The last of a run of equal hashes is repeated too: the one before it is the same.
-    marked = F.filter(
-        F.zip_with(
-            beside,
-            F.concat(F.array(F.lit(False)), F.transform(F.slice(beside, 1, F.size(beside) - 1), lambda x: x["same"])),
-            lambda x, before: F.when(x["same"] | before, x["i"]),
-        ),
-        lambda x: x.isNotNull(),
-    )
-    places = F.array_sort(marked)
+    same = lambda x, k: F.coalesce(x["h"] == F.get("_ordered", k)["h"], F.lit(False))
+    marked = F.filter("_ordered", lambda x, k: same(x, k + 1) | same(x, k - 1))
     covered = F.aggregate(
-        places,
+        F.sort_array(F.transform(marked, lambda x: x["i"])),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).alias("last")),
         lambda acc, p: F.struct(
             (acc["n"] + F.least(F.lit(WINDOW), p - acc["last"])).cast("long").alias("n"), p.alias("last")
         ),
         lambda acc: acc["n"],
     )
-    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), covered).otherwise(F.lit(0)).cast("long")
+    return ordered.withColumn(name, covered).drop("_ordered")
+
+
+def symbols() -> Column:
+    """Number of characters of ``SYMBOLS``, each of one byte."""
+    without = F.col("text")
+    for character in SYMBOLS:
+        without = F.replace(without, F.lit(character), F.lit(""))
+    return (F.octet_length("text") - F.octet_length(without)).cast("long")
 
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts of every document and the base verdict, with text and words for the rules."""
-    counted = word_columns(docs, id_col, text_col).select(
+    counted = with_repeated_words(word_columns(docs, id_col, text_col), "windows", "n_repeat_words").select(
         "doc_id",
         "text",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.concat_ws("", "words")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        symbols().alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeated_words("windows").alias("n_repeat_words"),
+        "n_repeat_words",
     )
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     return counted.withColumn("base_failed", failed)

@@ -529,3 +529,26 @@ def test_pipeline_runs_on_every_stage(docs, spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, current, str(tmp_path))
         assert out.columns == current.columns and out.count() <= 2 * current.count()
+
+
+def test_quality_counts_without_regular_expressions(spark):
+    """Words, letters and symbols of texts with every white space, long runs of it, and characters of several bytes."""
+    import re
+
+    texts = ["", " ", "\t\n\x0b\x0c\r ", "a", " a\x0bb\x0c\x0cc\r\nd  e\t", "#*$%&|<>", "é# ü $$  x 😀%\x1fy\u0085z", "<p>" * 40 + "\n\n", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    counted = quality.base_counts(docs)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan and "[\\x20\\x09-\\x0D]+" not in plan
+    for row in counted.collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", texts[row.doc_id] or "")
+        assert (row.n_words, row.word_chars) == (len(words), sum(map(len, words)))
+        assert row.n_symbols == sum(c in "#*$%&|<>" for c in texts[row.doc_id] or "")
+
+
+def test_quality_sorts_repeated_windows_once(spark):
+    docs = spark.createDataFrame([(0, "a b c d e f " * 4), (1, "a b c d e x a b c d e"), (2, " ".join(map(str, range(50))))], "doc_id long, text string")
+    counted = quality.base_counts(docs)
+    assert {r.doc_id: r.n_repeat_words for r in counted.collect()} == {0: 24, 1: 10, 2: 0}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(transform(CASE") == 1 and "array_sort(" not in plan
