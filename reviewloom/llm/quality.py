@@ -60,28 +60,37 @@ def word_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ).drop("h5")
 
 
-def with_repeated_words(words: DataFrame, windows: str, name: str) -> DataFrame:
-    """Adds the number of words inside a window that occurs at least twice; ``windows`` has the hash at each place.
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, also where the optimizer copies the expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def repeated_words(windows: str) -> Column:
+    """Words inside a window that occurs at least twice; ``windows`` has the hash at each place.
 
     Only texts in which a hash repeats are sorted. Places with an equal neighbour in hash order
     are the repeated windows; in place order each covers up to the next one, five words at most.
-    The order is a column of its own, since it would be computed again wherever it is named.
     """
-    hashes = F.col(windows)
-    repeats = F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), hashes).otherwise(F.array().cast("array<bigint>"))
-    ordered = words.withColumn("_ordered", F.sort_array(F.transform(repeats, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    # The last of a run of equal hashes is repeated too: the one before it is the same.
-    same = lambda x, k: F.coalesce(x["h"] == F.get("_ordered", k)["h"], F.lit(False))
-    marked = F.filter("_ordered", lambda x, k: same(x, k + 1) | same(x, k - 1))
-    covered = F.aggregate(
-        F.sort_array(F.transform(marked, lambda x: x["i"])),
-        F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).alias("last")),
-        lambda acc, p: F.struct(
-            (acc["n"] + F.least(F.lit(WINDOW), p - acc["last"])).cast("long").alias("n"), p.alias("last")
-        ),
-        lambda acc: acc["n"],
-    )
-    return ordered.withColumn(name, covered).drop("_ordered")
+
+    def covered(ordered: Column) -> Column:
+        # The last of a run of equal hashes is repeated too: the one before it is the same.
+        same = lambda x, k: F.coalesce(x["h"] == F.get(ordered, k)["h"], F.lit(False))
+        marked = F.filter(ordered, lambda x, k: same(x, k + 1) | same(x, k - 1))
+        return F.aggregate(
+            F.sort_array(F.transform(marked, lambda x: x["i"])),
+            F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).alias("last")),
+            lambda acc, p: F.struct(
+                (acc["n"] + F.least(F.lit(WINDOW), p - acc["last"])).cast("long").alias("n"), p.alias("last")
+            ),
+            lambda acc: acc["n"],
+        )
+
+    def counted(hashes: Column) -> Column:
+        ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
+        return F.when(repeats, _bound(ordered, covered)).otherwise(F.lit(0)).cast("long")
+
+    return _bound(F.col(windows), counted)
 
 
 def symbols() -> Column:
@@ -94,7 +103,7 @@ def symbols() -> Column:
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts of every document and the base verdict, with text and words for the rules."""
-    counted = with_repeated_words(word_columns(docs, id_col, text_col), "windows", "n_repeat_words").select(
+    counted = word_columns(docs, id_col, text_col).select(
         "doc_id",
         "text",
         F.size("words").cast("long").alias("n_words"),
@@ -102,7 +111,7 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         symbols().alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words",
+        repeated_words("windows").alias("n_repeat_words"),
     )
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     return counted.withColumn("base_failed", failed)
