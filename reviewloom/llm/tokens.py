@@ -16,8 +16,8 @@ from tokenizers import Tokenizer
 #: Pieces that a worker remembers. This bounds memory; a piece not remembered is encoded again.
 REMEMBERED = 600_000
 #: Pieces that are encoded as one text.
-TOGETHER = 256
-#: Such texts in one call; the tokenizer's results take far more memory than the ids.
+TOGETHER = 64
+#: Texts in one call; the tokenizer's results take far more memory than the ids.
 TEXTS = 16
 MARK = "\x01"
 BLANK = {chr(c) for c in range(0x3001) if chr(c).isspace()}
@@ -95,7 +95,10 @@ class PieceEncoder:
         self.starts, self.mark = loaded.starts, loaded.mark
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = []
+        for i in range(0, len(texts), TEXTS):
+            found += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[i : i + TEXTS], add_special_tokens=False)]
+        return found
 
     def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces one after another and their numbers, many encoded as one text and divided again."""
@@ -163,7 +166,7 @@ class PieceEncoder:
         ends = ends - ends[0]
         coded = lists.flatten().dictionary_encode()
         index = np.asarray(coded.indices).astype(np.int64)
-        pieces = coded.dictionary.to_pylist()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes a scalar of each first
         whole: dict[int, np.ndarray] = {}
         if self.split == "words" or not len(index):
             at, (ids, begins, sizes) = self._numbered(pieces)

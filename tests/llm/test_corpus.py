@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.llm import language, minhash, mixing, neighbours, packing, quality, sharding, suffixes, tokenfiles, toxicity
+from reviewloom.llm import language, minhash, mixing, neighbours, packing, quality, sharding, suffixes, tokenfiles, tokens, toxicity
 from reviewloom.llm.components import components
 from reviewloom.llm.tokens import PieceEncoder, default_path
 
@@ -291,6 +291,26 @@ def test_pieces_encode_like_whole_texts(texts, name, split):
         assert ids[a:b].tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_few_texts_are_encoded_in_one_call():
+    """Texts with other spaces are encoded whole; the tokenizer's results for them must not be held all at once."""
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.calls = tokenizer, []
+
+        def encode_batch_fast(self, some, **options):
+            self.calls.append(len(some))
+            return self.tokenizer.encode_batch_fast(some, **options)
+
+    encoder = PieceEncoder(default_path("byte_bpe_50k.json"), "spaces")
+    values = [f"whole{i}  text\n\n {i}  " if i % 2 else f"first{i} ünd {i}" for i in range(200)]
+    plain, encoder.tokenizer = encoder.tokenizer, Counted(encoder.tokenizer)
+    ids, offsets = encoder.encode(pa.array(values, pa.string()))
+    for t, a, b in zip(values, offsets, offsets[1:], strict=False):
+        assert ids[a:b].tolist() == plain.encode(t, add_special_tokens=False).ids
+    assert max(encoder.tokenizer.calls) <= tokens.TEXTS
+
+
 def test_packing_fills_sequences_without_gaps(docs, odd, empty):
     packed = packing.pack(packing.tokenized_pieces(docs, capacity=256, with_ids=True), 256)
     rows = packed.collect()
