@@ -134,10 +134,15 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     order, rank = _dense(keys)
     done = 8
     while done < depth:
-        after = np.zeros(n, np.uint64)
-        after[: max(n - done, 0)] = rank[done:]
-        order, rank = _dense(rank << np.uint64(32) | after)
-        done *= 2
+        # As many ranks as fit a number; each round sorts anew.
+        bits = max(int(rank[order[-1]]).bit_length(), 1)
+        times, keys = min(64 // bits, -(-depth // done)), rank
+        for j in range(1, times):
+            after = np.zeros(n, np.uint64)
+            after[: max(n - j * done, 0)] = rank[j * done :]
+            keys = keys << np.uint64(bits) | after
+        order, rank = _dense(keys)
+        done *= times
     return order
 
 
@@ -152,33 +157,39 @@ def common_prefix_levels(bwt: np.ndarray, least: int) -> np.ndarray:
     n = len(bwt)
     back = np.empty(n, np.int64)
     back[np.argsort(bwt, kind="stable")] = np.arange(n)  # where the suffix one to the left is
+    byte_at = np.sort(bwt)  # its first byte
     levels = np.full(n + 1, -1, np.int16)
     levels[0] = levels[n] = 0
-    low, high = np.array([0]), np.array([n])
-    owner = np.empty(n, np.int32)
+    place, mine = np.arange(n), np.zeros(n, np.int32)  # the places of all intervals, and each one's interval
+    owner, seen = np.empty(n, np.int32), np.zeros(n, bool)
     for length in range(least):
-        size = high - low
-        ends = np.cumsum(size)
-        place = np.repeat(low - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
         image = back[place]
-        owner[image] = np.repeat(np.arange(len(low), dtype=np.int32), size)
-        byte = bwt[place]
-        order = np.argsort(image)
-        image, byte = image[order], byte[order]
-        mine = owner[image]
-        new = np.concatenate([[True], (mine[1:] != mine[:-1]) | (byte[1:] != byte[:-1])])
-        low = image[new]
-        high = np.concatenate([image[np.flatnonzero(new)[1:] - 1], image[-1:]]) + 1
+        owner[image] = mine
+        seen[image] = True
+        image = np.flatnonzero(seen)  # in order, without a sort
+        seen[image] = False
+        mine, byte = owner[image], byte_at[image]
+        # An interval's places with one byte have neighbouring images.
+        begin = np.flatnonzero(np.concatenate([[True], (mine[1:] != mine[:-1]) | (byte[1:] != byte[:-1])]))
+        size = np.diff(np.append(begin, len(image)))
+        high = image[begin] + size
         open_ = levels[high] < 0
-        low, high = low[open_], high[open_]
-        levels[high] = length
-        if not len(low):
+        levels[high[open_]] = length
+        if not open_.any():
             break
+        place, size = image[np.repeat(open_, size)], size[open_]
+        mine = np.repeat(np.arange(len(size), dtype=np.int32), size)
     return levels[:n]
 
 
 def shared_windows(contents: list[bytes], owners: np.ndarray, least: int = LEAST) -> list[np.ndarray]:
     """For each window of each content the smallest owner of an equal window in any content."""
+    found, count = _shared_windows(contents, owners, least)
+    return np.split(found, np.cumsum(count)[:-1])
+
+
+def _shared_windows(contents: list[bytes], owners: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shared_windows`` of all contents one after another, and how many each has."""
     sizes = np.array([len(c) for c in contents], np.int64)
     text = np.frombuffer(b"\xff".join(contents) + b"\xff", np.uint8)
     start = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
@@ -192,7 +203,7 @@ def shared_windows(contents: list[bytes], owners: np.ndarray, least: int = LEAST
     least_owner = np.minimum.reduceat(value, group)
     found = np.empty(len(text), np.int64)
     found[order] = np.repeat(least_owner, np.diff(np.append(group, len(text))))
-    return [found[a : a + n - least + 1] for a, n in zip(start.tolist(), sizes.tolist(), strict=True)]
+    return found[valid], np.maximum(sizes - least + 1, 0)
 
 
 def _texts(table: pa.Table):
@@ -404,17 +415,24 @@ def _matched(table: pa.Table) -> pa.Table:
     group = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
     first, smallest = order[group], np.minimum.reduceat(doc[order], group)
     varied = np.flatnonzero(np.asarray(pa.compute.binary_length(table.column("content")))[first] > 0)
-    values: list[np.ndarray] = list(smallest[:, None])
+    sizes, lowest, values = np.ones(len(first), np.int64), smallest, smallest
     if len(varied):
-        contents = table.column("content").take(pa.array(first[varied])).to_pylist()
-        for k, found in zip(varied.tolist(), shared_windows(contents, smallest[varied]), strict=True):
-            values[k] = found[:1] if (found == found[0]).all() else found
-    sizes = np.array([len(v) for v in values])
-    lowest = np.minimum.reduceat(np.concatenate(values), np.cumsum(sizes) - sizes)
+        contents = table.column("content").take(pa.array(first[varied])).to_numpy().tolist()
+        found, count = _shared_windows(contents, smallest[varied], LEAST)
+        begin = np.cumsum(count) - count
+        low, high = np.minimum.reduceat(found, begin), np.maximum.reduceat(found, begin)
+        lowest = smallest.copy()
+        lowest[varied] = low
+        several = low < high
+        sizes[varied[several]] = count[several]
+        values = np.repeat(lowest, sizes)
+        wide = np.zeros(len(first), bool)
+        wide[varied[several]] = True
+        values[np.repeat(wide, sizes)] = found[np.repeat(several, count)]
     at = np.empty(len(key), np.int64)
     at[order] = np.repeat(np.arange(len(group)), np.diff(np.append(group, len(key))))
     wanted = np.flatnonzero(np.asarray(table.column("many")) | (lowest[at] < doc))
-    lists = pa.array(values, pa.list_(pa.int64())).take(pa.array(at[wanted]))
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values)).take(pa.array(at[wanted]))
     give_back()
     return pa.table([table.column("part").take(pa.array(wanted)), table.column("key").take(pa.array(wanted)), lists, table.column("anchor").take(pa.array(wanted))], schema=ANSWERS)
 

@@ -280,6 +280,24 @@ def test_shared_windows_of_near_equal_contents():
         assert found.tolist() == [least[c[p : p + 5]] for p in range(len(c) - 4)]
 
 
+def test_intervals_grow_without_a_sort_for_each_length(monkeypatch):
+    """Common prefixes below the limit are exact, with one sort for the transform and few for the suffixes."""
+    rng = random.Random(4)
+    text = np.frombuffer(b"\xff".join(bytes(rng.choice(b"ab") for _ in range(rng.randint(30, 300))) for _ in range(40)) + b"\xff", np.uint8)
+    sorts, sort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **b: sorts.append(1) or sort(*a, **b))
+    order = suffixes.suffix_order(text, 50)
+    assert len(sorts) <= 3
+    levels = suffixes.common_prefix_levels(text[order - 1], 50)
+    assert len(sorts) <= 4
+    plain = text.tobytes()
+    for k in range(1, len(order)):
+        a, b = (plain[x : x + 50].split(b"\xff")[0] for x in order[k - 1 : k + 1].tolist())
+        if len(a) == len(b) == 50:
+            same = next((i for i in range(50) if a[i] != b[i]), -1)
+            assert levels[k] == same
+
+
 @pytest.mark.parametrize(("name", "split"), [("byte_bpe_50k.json", "spaces"), ("word_bpe_49k.json", "words")])
 def test_pieces_encode_like_whole_texts(texts, name, split):
     import pyarrow as pa
